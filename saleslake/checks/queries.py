@@ -174,7 +174,7 @@ def cast_text_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def contract_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     readable = raw_view(spark, sf_dir).where(F.col("error").isNull())
-    return contract_report(readable, RAW_REQUIRED)
+    return contract_report(readable)
 
 
 def branch_from_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -411,7 +411,7 @@ def flags_by_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _comparable_bronze(bronze: DataFrame) -> DataFrame:
     """Bronze with money text as numbers: engines write the same double differently."""
     money = {c: to_double(F.col(c)) for c in DOUBLE_COLUMNS}
-    note = F.element_at("_extra", "OBS").alias("OBS")
+    note = F.col("_extra")["OBS"].alias("OBS")
     return bronze.withColumns(money).select(*RAW_REQUIRED, *UNIT, "_src_file", "_src_row", note)
 
 

@@ -7,7 +7,9 @@ wide line items are shuffled for their order key and their article key only.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saleslake.functions.text import strip
 from saleslake.operators.cleaning import add_unit, coerce_date, valid_dates
+from saleslake.operators.contract import missing_names, unexpected_names
 from saleslake.operators.rates import unique_rates
 from saleslake.plans.silver import silver_lines
 from saleslake.schemas import RAW_REQUIRED, UNIT
@@ -157,23 +159,26 @@ def raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("raw/ventas/Ventas_"), "SUCURSAL", F.lit(".xlsx")))
     )
 
-    def cells(names: list[str]) -> Column:
-        return F.create_map(*[part for c in names for part in (F.lit(c), F.col(c))])
-
     note = F.create_map(F.lit("OBS"), F.concat(F.lit("linea "), F.col("_pos_line")))
-    without_cost = [c for c in RAW_REQUIRED if c != "COSTO_ARTICULO"]
-    unreadable = branch == 9
-    row_cells = (
+    lacks_cost, has_note, unreadable = branch % 11 == 3, branch % 5 == 1, branch == 9
+    names = (
         F.when(unreadable, None)
-        .when(branch % 11 == 3, cells(without_cost))
-        .when(branch % 5 == 1, F.map_concat(cells(RAW_REQUIRED), note))
-        .otherwise(cells(RAW_REQUIRED))
+        .when(lacks_cost, F.array(*[F.lit(c) for c in RAW_REQUIRED if c != "COSTO_ARTICULO"]))
+        .when(has_note, F.array(*[F.lit(c) for c in [*RAW_REQUIRED, "OBS"]]))
+        .otherwise(F.array(*[F.lit(c) for c in RAW_REQUIRED]))
     )
+    cells = {c: F.col(c) for c in RAW_REQUIRED} | {
+        "COSTO_ARTICULO": F.when(~lacks_cost, F.col("COSTO_ARTICULO")),
+        "DESC_ARTICULO": strip(F.col("DESC_ARTICULO")),
+    }
     return dirty.select(
         path.alias("path"),
         F.when(~unreadable, F.col("YEAR").cast("string")).alias("sheet"),
         F.when(~unreadable, F.col("YEAR") - 1995).alias("sheet_no"),
         F.when(~unreadable, F.col("_pos_line").cast("bigint") + 1).alias("row_no"),
-        row_cells.alias("cells"),
         F.when(unreadable, "unreadable_workbook: BadZipFile").alias("error"),
+        missing_names(names, RAW_REQUIRED).alias("missing"),
+        unexpected_names(names, RAW_REQUIRED).alias("unexpected"),
+        *[F.when(~unreadable, cells[c]).alias(c) for c in RAW_REQUIRED],
+        F.when(has_note & ~lacks_cost & ~unreadable, note).alias("extra"),
     )

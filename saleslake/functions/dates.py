@@ -5,8 +5,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from saleslake.functions.text import strip
-
 # Spanish names, Monday first and January first.
 WEEKDAYS = ["Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado", "Domingo"]
 MONTHS = [
@@ -25,12 +23,23 @@ MONTHS = [
 ]
 DAYS_OF_MONTH = list(range(1, 32))
 DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
+# Formats that a plain cast reads, with the shape that keeps other texts away from the cast.
+CAST_SHAPES = {
+    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$",
+    "yyyy-MM-dd": r"^\d{4}-\d\d-\d\d$",
+}
 
 
 def to_ts(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Timestamp by the first format that fits; null where none does."""
-    text = strip(c.cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    text = F.trim(c.cast("string"))
+
+    def read(format: str) -> Column:
+        if format in CAST_SHAPES:
+            return F.when(text.rlike(CAST_SHAPES[format]), text.try_cast("timestamp"))
+        return F.try_to_timestamp(text, F.lit(format))
+
+    return F.coalesce(*[read(f) for f in formats])
 
 
 def _name(names: Sequence[str], position: Column) -> Column:

@@ -3,31 +3,28 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from saleslake.functions.text import strip
-
-# A cast alone would accept "12d", "nan" or "Infinity".
-PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-
-
-def _number_text(c: Column) -> Column:
-    text = strip(c.cast("string"))
-    return F.when(text.rlike(PLAIN_NUMBER), text)
+# A cast alone would accept "12d", "nan" or "Infinity", and a cast that fails costs a hundred
+# times as much as one that succeeds.
+PLAIN_INTEGER = r"^\s*[+-]?\d+\s*$"
+PLAIN_NUMBER = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
 
 
 def to_int(c: Column) -> Column:
     """Whole number, truncated toward zero; 0 where the text is no number.
 
-    The direct cast comes first: it keeps integers beyond 2^53 exact.
+    Integers are cast directly, which keeps those beyond 2^53 exact.
     """
-    text = _number_text(c)
-    return F.coalesce(
-        text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint")
+    text = c.cast("string")
+    whole = F.when(text.rlike(PLAIN_INTEGER), text.try_cast("bigint")).otherwise(
+        parse_double(c).try_cast("bigint")
     )
+    return F.coalesce(whole, F.lit(0).cast("bigint"))
 
 
 def parse_double(c: Column) -> Column:
     """Double; null where the text is no number."""
-    return _number_text(c).try_cast("double")
+    text = c.cast("string")
+    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
 
 
 def to_double(c: Column) -> Column:

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from saleslake.functions.dates import DATE_FORMATS, to_ts
 from saleslake.functions.text import branch_from_path
-from saleslake.operators.contract import missing_names
-from saleslake.schemas import RAW_REQUIRED, UNIT
+from saleslake.schemas import UNIT
 
 
 def load_audit(
@@ -26,9 +25,9 @@ def load_audit(
     return audited.withColumn("status", status)
 
 
-def raw_reason(required: Sequence[str] = RAW_REQUIRED) -> Column:
+def raw_reason() -> Column:
     """Why a raw row's sheet is rejected; null for an accepted one."""
-    missing = missing_names(F.map_keys("cells"), required)
+    missing = F.col("missing")
     return (
         F.when(F.col("error").isNotNull(), F.col("error"))
         .when(branch_from_path(F.col("path")) == "", F.lit("empty_branch"))
@@ -39,7 +38,7 @@ def raw_reason(required: Sequence[str] = RAW_REQUIRED) -> Column:
 def raw_audit(raw: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """Audit per workbook sheet: header record included in the contract, not in the counts."""
     data_row = F.col("row_no") > 1
-    bad_date = data_row & to_ts(F.element_at("cells", "FECHA"), formats).isNull()
+    bad_date = data_row & to_ts(F.col("FECHA"), formats).isNull()
     audited = load_audit(
         raw, ["path", "sheet"], {"data_rows": data_row, "bad_dates": bad_date}, raw_reason()
     )

@@ -44,22 +44,14 @@ def unexpected_names(present: Column, required: Sequence[str]) -> Column:
     return _joined(F.array_except(present, F.array(*[F.lit(n) for n in required])))
 
 
-def contract_report(
-    raw: DataFrame, required: Sequence[str], unit: Sequence[str] = ("path", "sheet")
-) -> DataFrame:
-    """One row per unit of a mixed raw table, whose rows carry their cells by column name.
+def contract_report(raw: DataFrame, unit: Sequence[str] = ("path", "sheet")) -> DataFrame:
+    """One row per unit of raw sheet rows, with the header report that its rows carry.
 
     All rows of a unit share one header, so the maximum is that header's report and the
     aggregate shrinks to one row per unit before the shuffle.
     """
-    names = F.map_keys("cells")
-    per_row = raw.select(
-        *unit,
-        missing_names(names, required).alias("missing"),
-        unexpected_names(names, required).alias("unexpected"),
-    )
     return (
-        per_row.groupBy(*unit)
+        raw.groupBy(*unit)
         .agg(
             F.count(F.lit(1)).alias("row_count"),
             F.max("missing").alias("missing"),

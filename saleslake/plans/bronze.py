@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saleslake.functions.dates import DATE_FORMATS
-from saleslake.functions.text import branch_from_path, strip, text_or
+from saleslake.functions.text import branch_from_path, text_or
 from saleslake.operators.audit import raw_reason
 from saleslake.operators.cleaning import add_unit, coerce_date, valid_dates
 from saleslake.schemas import RAW_REQUIRED
@@ -17,22 +17,18 @@ NULL_TEXT = "nan"
 def bronze_build(
     raw: DataFrame, formats: Sequence[str] = DATE_FORMATS, null_text: str = NULL_TEXT
 ) -> DataFrame:
-    """Rows of all accepted sheets: required columns as trimmed text, FECHA as timestamp.
+    """Rows of all accepted sheets: required columns as text, FECHA as timestamp.
 
-    The contract is decided per row (each row carries its sheet's column names), so nothing
-    is shuffled. Columns beyond the contract stay in the map ``_extra``.
+    Each row carries its sheet's contract report, so nothing is shuffled. Columns beyond the
+    contract stay in the map ``_extra``.
     """
     accepted = raw.where((F.col("row_no") > 1) & raw_reason().isNull())
-    required = F.array(*[F.lit(c) for c in RAW_REQUIRED])
     rows = accepted.select(
-        *[
-            text_or(strip(F.element_at("cells", c)), null_text).alias(c)
-            for c in RAW_REQUIRED
-        ],
+        *[text_or(F.col(c), null_text).alias(c) for c in RAW_REQUIRED],
         branch_from_path(F.col("path")).alias("SUCURSAL"),
         F.col("path").alias("_src_file"),
         F.col("sheet_no").alias("_src_sheet_no"),
         F.col("row_no").alias("_src_row"),
-        F.map_filter("cells", lambda name, _: ~F.array_contains(required, name)).alias("_extra"),
+        F.col("extra").alias("_extra"),
     )
     return add_unit(valid_dates(coerce_date(rows, formats=formats)), F.col("SUCURSAL"))

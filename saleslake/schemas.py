@@ -93,14 +93,18 @@ PARTITION_FIELDS = [
     T.StructField("month", T.IntegerType()),
 ]
 
+# Rows of workbook sheets: position, what is wrong with the sheet, trimmed cells by column.
 RAW = T.StructType(
     [
         T.StructField("path", T.StringType()),
         T.StructField("sheet", T.StringType()),
         T.StructField("sheet_no", T.IntegerType()),
         T.StructField("row_no", T.LongType()),
-        T.StructField("cells", T.MapType(T.StringType(), T.StringType())),
         T.StructField("error", T.StringType()),
+        T.StructField("missing", T.StringType()),
+        T.StructField("unexpected", T.StringType()),
+        *[T.StructField(c, T.StringType()) for c in RAW_REQUIRED],
+        T.StructField("extra", T.MapType(T.StringType(), T.StringType())),
     ]
 )
 

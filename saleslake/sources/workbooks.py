@@ -14,7 +14,7 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from saleslake.schemas import RAW
+from saleslake.schemas import RAW, RAW_REQUIRED
 
 ROWS_PER_BATCH = 5_000
 XLSX_GLOB = "*.[xX][lL][sS][xX]"
@@ -27,6 +27,9 @@ MISSING_TEXTS = {
 # Built-in number formats of the file format that show a date or a time.
 DATE_FORMAT_IDS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
 
+# A row without report, cells and extra columns.
+NO_CELLS = [None] * (len(RAW_REQUIRED) + 3)
+
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
@@ -37,10 +40,11 @@ def list_workbooks(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_workbooks(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of all sheets of all workbooks, cells keyed by normalised header.
+    """Rows of all sheets of all workbooks: headers normalised, cells trimmed.
 
-    Row 1 of a sheet is its header record (no cell values), so a sheet without data rows is
-    still seen by the audit. An unreadable workbook or sheet is one row with its ``error``.
+    Every row names the required columns that its sheet lacks and those it has beyond them.
+    Row 1 stands for the header (no cell values), so a sheet without data rows is still seen
+    by the audit. An unreadable workbook or sheet is one row with its ``error``.
     """
     return _files(spark, root).select("path", "content").mapInPandas(_rows, RAW)
 
@@ -65,36 +69,47 @@ def _rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _workbook_records(content: bytes) -> Iterator[tuple]:
-    """(sheet, sheet_no, row_no, cells, error) of one workbook."""
+    """Values of the raw columns after the path, row by row of one workbook."""
     try:
         archive = zipfile.ZipFile(io.BytesIO(content))
         strings = _shared_strings(archive)
         date_styles, epoch = _date_styles(archive), _epoch(archive)
         sheets = _sheets(archive)
     except Exception as e:
-        yield None, None, None, None, f"unreadable_workbook: {type(e).__name__}"
+        yield None, None, None, f"unreadable_workbook: {type(e).__name__}", *NO_CELLS
         return
     for number, (name, part) in enumerate(sheets):
         try:
             yield from _sheet_records(archive, name, number, part, strings, date_styles, epoch)
         except Exception as e:
-            yield name, number, None, None, f"unreadable_sheet: {type(e).__name__}"
+            yield name, number, None, f"unreadable_sheet: {type(e).__name__}", *NO_CELLS
 
 
 def _sheet_records(archive, name, number, part, strings, date_styles, epoch) -> Iterator[tuple]:
-    header = None
+    header, report, required, extra = None, None, [], {}
     for row_no, values in _sheet_rows(archive, part, strings, date_styles, epoch):
         if header is None:
             header = _header(values)
             if len(set(header)) < len(header):
-                yield name, number, 1, None, "duplicate_columns"
+                yield name, number, 1, "duplicate_columns", *NO_CELLS
                 return
-            yield name, number, 1, dict.fromkeys(header), None
+            report = _report(header)
+            place = {h: i for i, h in enumerate(header)}
+            required = [place.get(c) for c in RAW_REQUIRED]
+            extra = {h: i for h, i in place.items() if h not in RAW_REQUIRED}
+            yield name, number, 1, None, *report, *NO_CELLS[2:]
             continue
-        cells = {h: values.get(i) for i, h in enumerate(header)}
-        yield name, number, row_no, cells, None
+        cells = [values.get(i) for i in required]
+        rest = {h: values.get(i) for h, i in extra.items()} if extra else None
+        yield name, number, row_no, None, *report, *cells, rest
     if header is None:
-        yield name, number, 1, {}, None
+        yield name, number, 1, None, *_report([]), *NO_CELLS[2:]
+
+
+def _report(header: list[str]) -> tuple[str, str]:
+    """Missing and unexpected columns of a sheet, sorted and comma-joined."""
+    present, wanted = set(header), set(RAW_REQUIRED)
+    return ",".join(sorted(wanted - present)), ",".join(sorted(present - wanted))
 
 
 def _header(values: dict[int, str]) -> list[str]:
@@ -120,7 +135,7 @@ def _sheet_rows(archive, part, strings, date_styles, epoch) -> Iterator[tuple[in
                 column = _column(cell.get("r")) if cell.get("r") else column + 1
                 text = _cell_text(cell, strings, date_styles, epoch)
                 if text is not None and text not in MISSING_TEXTS:
-                    values[column] = text
+                    values[column] = text.strip()
             yield row_no, values
             element.clear()
 
