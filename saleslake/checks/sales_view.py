@@ -1,7 +1,8 @@
 """Branch sales derived from the star-schema tables: typed, damaged text, and raw sheet rows.
 
 The SQL in ``oracles`` builds the same views. Joins start from orders and customers, so the
-wide line items are shuffled for their order key and their article key only.
+wide line items are shuffled for their order key and their article key only. Lines and tickets
+are merged on the order key: both grow with the data, and a key has a handful of lines.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,7 +34,7 @@ def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lines = (
         table(spark, sf_dir, "lineitem")
-        .join(tickets, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(tickets.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
     price, tax = F.col("l_extendedprice"), F.col("l_tax")
