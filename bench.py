@@ -12,6 +12,7 @@ import time
 from pyspark.sql import SparkSession
 
 from saleslake.checks.queries import QUERIES
+from saleslake.session import builder
 
 HEADLINE = [
     "bronze_build",
@@ -39,10 +40,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName("saleslake-bench")
+        builder("saleslake-bench")
+        .master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.ui.enabled", "false")
         .getOrCreate()

@@ -2,9 +2,8 @@
 
 import argparse
 
-from pyspark.sql import SparkSession
-
 from saleslake.plans.jobs import run_bronze, run_gold, run_silver
+from saleslake.session import builder
 
 
 def main() -> None:
@@ -22,11 +21,7 @@ def main() -> None:
     gold.add_argument("--scope", choices=["chain", "partition"], default="chain")
     args = parser.parse_args()
 
-    spark = (
-        SparkSession.builder.appName(f"saleslake-{args.step}")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
-    )
+    spark = builder(f"saleslake-{args.step}").getOrCreate()
     if args.step == "bronze":
         audit = run_bronze(spark, args.source, args.target)
     elif args.step == "silver":

@@ -89,8 +89,9 @@ LINE_KEYS = ["NUMERO_TICKET", "ID_ARTICULO", *POSITION]
 
 
 def rounded(df: DataFrame, decimals: dict[str, int] = DECIMALS) -> DataFrame:
-    present = {c: F.round(c, n) for c, n in decimals.items() if c in df.columns}
-    return df.withColumns(present)
+    """Rounding on doubles as such; ``round`` would go through decimals for every value."""
+    scales = {c: 10.0**n for c, n in decimals.items() if c in df.columns}
+    return df.withColumns({c: F.rint(F.col(c) * scale) / scale for c, scale in scales.items()})
 
 
 _stored: dict[tuple[str, str, str], str] = {}
