@@ -39,9 +39,9 @@ def unit_summary(products: DataFrame, daily: DataFrame, scope: str = "chain") ->
 def gold_build(silver: DataFrame, scope: str = "chain", stage: Stage = _as_is) -> DataFrame:
     """Gold rows of all branch-months in ``silver``.
 
-    Silver is read for two aggregates, products and daily totals; everything else follows
-    from these. ``stage`` may write the intermediate results that have several consumers
-    (products, daily totals) or whose size decides a join (the branch-month summary).
+    Everything follows from two aggregates of silver, products and daily totals. ``stage``
+    may write the results that have several consumers (these two) or whose size decides a join
+    (the branch-month summary); silver is then read exactly twice.
     """
     check_contract(silver, SILVER.fieldNames()).require("silver")
     products = stage(product_months(silver))

@@ -34,7 +34,30 @@ def stage(df: DataFrame) -> DataFrame:
     Used where a result has several consumers: readers prune columns, lineage ends at the
     files, and the planner knows the real size of what it joins.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/staged/{uuid.uuid4().hex}"
+    return _write(df, f"{shared_dir(df.sparkSession)}/staged/{uuid.uuid4().hex}")
+
+
+class Staging:
+    """Staged tables of one job; their folder is removed when the job is over."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._root = f"{shared_dir(spark)}/staged/{uuid.uuid4().hex}"
+        self._tables = 0
+
+    def stage(self, df: DataFrame) -> DataFrame:
+        self._tables += 1
+        return _write(df, f"{self._root}/{self._tables}")
+
+    def __enter__(self) -> "Staging":
+        return self
+
+    def __exit__(self, *_) -> None:
+        context = self._spark.sparkContext
+        root = context._jvm.org.apache.hadoop.fs.Path(self._root)
+        root.getFileSystem(context._jsc.hadoopConfiguration()).delete(root, True)
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
