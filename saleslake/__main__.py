@@ -2,6 +2,7 @@
 
 import argparse
 
+from saleslake.functions.dates import DATE_FORMATS
 from saleslake.plans.jobs import run_bronze, run_gold, run_silver
 from saleslake.session import builder
 
@@ -16,6 +17,11 @@ def main() -> None:
     for step in (bronze, silver, gold):
         step.add_argument("source")
         step.add_argument("target")
+    bronze.add_argument(
+        "--date-format",
+        action="append",
+        help="format of date texts, may be repeated; ISO dates if not given",
+    )
     silver.add_argument("--rates", required=True, help="exchange-rate CSV")
     silver.add_argument("--fill", choices=["none", "calendar"], default="none")
     gold.add_argument("--scope", choices=["chain", "partition"], default="chain")
@@ -23,7 +29,8 @@ def main() -> None:
 
     spark = builder(f"saleslake-{args.step}").getOrCreate()
     if args.step == "bronze":
-        audit = run_bronze(spark, args.source, args.target)
+        formats = args.date_format or DATE_FORMATS
+        audit = run_bronze(spark, args.source, args.target, formats)
     elif args.step == "silver":
         audit = run_silver(spark, args.source, args.rates, args.target, args.fill)
     else:

@@ -67,6 +67,8 @@ def raw_root(tmp_path_factory):
     write_workbook(root / "Ventas_Sin Costo.xlsx", {"h": [HEADER[:-1], line(JANUARY_5, 1, 1, 1)[:-1]]})
     write_workbook(root / "Ventas_Doble.xlsx", {"h": [["FECHA", " fecha "], [1, 2]]})
     write_workbook(root / "Ventas.xlsx", {"h": [HEADER, line(JANUARY_5, 1, 1, 1)]})
+    cut = {"h": [HEADER, line(JANUARY_5, 1, 1, 1), line(JANUARY_5, 2, 1, 1)]}
+    write_workbook(root / "Ventas_Cortada.xlsx", cut, cut=60)
     (root / "Ventas_Rota.xlsx").write_bytes(b"no workbook")
     (root / "notas.txt").write_text("x")
     return str(root)
@@ -80,7 +82,7 @@ def rates_csv(tmp_path_factory):
 
 
 def test_workbooks_are_found_in_any_case(spark, raw_root):
-    assert list_workbooks(spark, raw_root).count() == 6
+    assert list_workbooks(spark, raw_root).count() == 7
 
 
 def test_workbook_cells(spark, raw_root):
@@ -95,7 +97,7 @@ def test_workbook_cells(spark, raw_root):
 
 
 def test_bronze_of_workbooks(spark, raw_root):
-    bronze = bronze_build(read_workbooks(spark, raw_root))
+    bronze = bronze_build(read_workbooks(spark, raw_root).where("path not like '%Cortada%'"))
     got = {(r.SUCURSAL, r.MONTH, r.NUMERO_TICKET, r.DESC_ARTICULO) for r in bronze.collect()}
     assert got == {
         ("Norte", 1, "1", "pan"),
@@ -118,6 +120,8 @@ def test_three_jobs(spark, raw_root, rates_csv, tmp_path):
     assert audit["Ventas_Sin Costo.xlsx", "h"].reason == "missing_columns: COSTO_ARTICULO"
     assert audit["Ventas_Doble.xlsx", "h"].reason == "duplicate_columns"
     assert audit["Ventas.xlsx", "h"].reason == "empty_branch"
+    cut = audit["Ventas_Cortada.xlsx", "h"]
+    assert (cut.reason, cut.data_rows) == ("unreadable_sheet: ParseError", 1)
     assert audit["Ventas_Rota.xlsx", None].reason == "unreadable_workbook: BadZipFile"
 
     audit = {(r.SUCURSAL, r.MONTH): r for r in run_silver(spark, bronze_root, rates_csv, silver_root).collect()}

@@ -36,8 +36,8 @@ def _cell(ref, value, strings, inline):
     return f'<c r="{ref}" t="s"><v>{len(strings) - 1}</v></c>'
 
 
-def write_workbook(path, sheets, inline=False):
-    """``sheets``: name to rows of cell values."""
+def write_workbook(path, sheets, inline=False, cut=0):
+    """``sheets``: name to rows of cell values; ``cut`` characters are lost at each sheet's end."""
     strings = []
     with zipfile.ZipFile(path, "w") as z:
         for n, rows in enumerate(sheets.values(), start=1):
@@ -49,7 +49,7 @@ def write_workbook(path, sheets, inline=False):
             )
             z.writestr(
                 f"xl/worksheets/sheet{n}.xml",
-                f"<worksheet {MAIN}><sheetData>{body}</sheetData></worksheet>",
+                f"<worksheet {MAIN}><sheetData>{body}</sheetData></worksheet>"[: -cut or None],
             )
         items = "".join(f'<si><t xml:space="preserve">{escape(s)}</t></si>' for s in strings)
         z.writestr("xl/sharedStrings.xml", f"<sst {MAIN}>{items}</sst>")
