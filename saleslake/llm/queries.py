@@ -5,7 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslake.llm import bpe_automaton, token_counts
+from saleslake.llm import bpe_automaton, decontamination, quality_rules, token_counts, warc
+from saleslake.llm.oracles import ORACLES as ORACLES
+from saleslake.llm.tables import scratch, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +34,33 @@ def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside benchmark passages, and the items that occur."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find_items(documents, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        decontamination.contaminated().alias("contaminated"),
+    )
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of the line-first rules for every document."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.apply_rules(documents).drop("text", "cleaned")
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record in a ZIP package, read back by ranges."""
+    pages = warc.classify(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    packages = stored(warc.write_packages(pages, scratch(spark)))
+    return warc.read_packages(packages, payloads=False).drop("url")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and whether it is over the limit of 1,024."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -43,6 +72,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe_encode_decode": op1_bpe_encode_decode,
+    "op3_decontamination": op3_decontamination,
+    "op5_quality_rules": op5_quality_rules,
+    "op8_warc": op8_warc,
     "op9_token_counts": op9_token_counts,
 }
-ORACLES: dict[str, str] = {}
