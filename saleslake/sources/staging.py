@@ -1,31 +1,25 @@
-"""Tables written between the steps of a job, in the folder the cluster shares."""
+"""Tables written between the steps of a job, in a folder that the cluster shares."""
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 Stage = Callable[[DataFrame], DataFrame]
 
-_local_folders: dict[str, str] = {}
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for staged tables: ``spark.checkpoint.dir``.
-
-    Only a single-machine session may do without the setting; it gets a temporary folder.
-    """
+    """Folder for staged tables: ``spark.checkpoint.dir``, or else below the session's warehouse."""
     configured = spark.conf.get(CHECKPOINT_DIR, None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="saleslake-")
-    return _local_folders[context.applicationId]
+    return configured.rstrip("/") if configured else f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/_staging"
+
+
+def delete_at_exit(spark: SparkSession, folder: str) -> None:
+    """Delete a folder when the session ends."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -34,15 +28,21 @@ def stage(df: DataFrame) -> DataFrame:
     Used where a result has several consumers: readers prune columns, lineage ends at the
     files, and the planner knows the real size of what it joins.
     """
-    return _write(df, f"{shared_dir(df.sparkSession)}/staged/{uuid.uuid4().hex}")
+    spark = df.sparkSession
+    root = f"{shared_dir(spark)}/staged/{spark.sparkContext.applicationId}"
+    path = f"{root}/{uuid.uuid4().hex}"
+    staged = _write(df, path)
+    delete_at_exit(spark, path)
+    return staged
 
 
 class Staging:
-    """Staged tables of one job; their folder is removed when the job is over."""
+    """Staged tables of one job, below its target; their folder is removed when the job is over."""
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, target: str | None = None):
         self._spark = spark
-        self._root = f"{shared_dir(spark)}/staged/{uuid.uuid4().hex}"
+        below = f"{target.rstrip('/')}/_staging" if target else f"{shared_dir(spark)}/staged"
+        self._root = f"{below}/{uuid.uuid4().hex}"
         self._tables = 0
 
     def stage(self, df: DataFrame) -> DataFrame:
