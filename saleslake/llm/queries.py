@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslake.llm import bpe_automaton, decontamination, quality_rules, token_counts, warc
+from saleslake.llm import bpe_automaton, decontamination, quality_crf, quality_rules, token_counts, warc
 from saleslake.llm.oracles import ORACLES as ORACLES
 from saleslake.llm.tables import scratch, stored
 
@@ -48,6 +48,18 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; a third of the ids is held out from training."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_crf.fit(documents, table(spark, sf_dir, "labels"))
+    return quality_crf.score(documents, model).select(
+        "doc_id",
+        quality_crf.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdicts of the line-first rules for every document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -73,6 +85,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bpe_encode_decode": op1_bpe_encode_decode,
     "op3_decontamination": op3_decontamination,
+    "op4_quality_crf": op4_quality_crf,
     "op5_quality_rules": op5_quality_rules,
     "op8_warc": op8_warc,
     "op9_token_counts": op9_token_counts,
