@@ -5,7 +5,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslake.llm import bpe_automaton, decontamination, quality_crf, quality_rules, token_counts, warc
+from saleslake.llm import (
+    bpe_automaton,
+    decontamination,
+    jaccard_join,
+    quality_crf,
+    quality_rules,
+    token_counts,
+    warc,
+)
 from saleslake.llm.oracles import ORACLES as ORACLES
 from saleslake.llm.tables import scratch, stored
 
@@ -82,6 +90,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with a Jaccard similarity of 0.9 or more of their 3-word shingles."""
+    return jaccard_join.join_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe_encode_decode": op1_bpe_encode_decode,
     "op3_decontamination": op3_decontamination,
@@ -89,4 +102,5 @@ QUERIES: dict[str, Query] = {
     "op5_quality_rules": op5_quality_rules,
     "op8_warc": op8_warc,
     "op9_token_counts": op9_token_counts,
+    "op10_jaccard_join": op10_jaccard_join,
 }
