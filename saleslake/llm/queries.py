@@ -9,6 +9,7 @@ from saleslake.llm import (
     bpe_automaton,
     decontamination,
     jaccard_join,
+    line_dedup,
     quality_crf,
     quality_rules,
     token_counts,
@@ -74,6 +75,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(documents).drop("text", "cleaned")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that are similar to no earlier line, and a digest of what stays."""
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a WARC record in a ZIP package, read back by ranges."""
     pages = warc.classify(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -100,6 +107,7 @@ QUERIES: dict[str, Query] = {
     "op3_decontamination": op3_decontamination,
     "op4_quality_crf": op4_quality_crf,
     "op5_quality_rules": op5_quality_rules,
+    "op6_line_dedup": op6_line_dedup,
     "op8_warc": op8_warc,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
