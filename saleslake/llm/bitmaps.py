@@ -1,8 +1,10 @@
 """Filters of a fixed size over keys: a set bit may be another key's, an unset bit is never wrong."""
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BITS = 24  # 2 MB, whatever the data
 
@@ -23,3 +25,18 @@ def contains(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[place >> 6] >> (place & 63)) & 1 == 1
 
 
+
+
+def flagged(df: DataFrame, name: str, keys: DataFrame, key: str) -> DataFrame:
+    """``_row`` (all columns as a struct) and ``_maybe``: false where the row's key isn't among the keys.
+
+    Rows without the flag need no join with the keys, so their texts aren't shuffled.
+    """
+    bits = df.sparkSession.sparkContext.broadcast(bitmap(keys, key))
+
+    @F.pandas_udf(T.BooleanType())
+    def maybe(ids: pd.Series) -> pd.Series:
+        return pd.Series(contains(bits.value, ids.fillna(0).to_numpy(np.int64)) & ids.notna().to_numpy())
+
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    return df.select(row, maybe(F.col(name).cast("long")).alias("_maybe"))

@@ -20,7 +20,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -217,21 +216,13 @@ def dedup_lines(docs: DataFrame, similarity: Similarity = Similarity()) -> DataF
             raise ValueError(f"column {name} exists already")
     per_doc = removed_lines(docs, similarity).groupBy("doc_id").agg(F.collect_set("line").alias("_lost"))
     lost = stored(per_doc.withColumnRenamed("doc_id", "_id"))
-    bits = docs.sparkSession.sparkContext.broadcast(bitmaps.bitmap(lost, "_id"))
-
-    @F.pandas_udf(T.BooleanType())
-    def maybe(ids: pd.Series) -> pd.Series:
-        known = ids.fillna(0).to_numpy(np.int64)
-        return pd.Series(bitmaps.contains(bits.value, known) & ids.notna().to_numpy())
-
-    flagged = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), maybe(F.col("doc_id").cast("long")).alias("_maybe"))
+    flagged = bitmaps.flagged(docs, "doc_id", lost, "_id")
     touched = flagged.where("_maybe").join(lost, F.col("_row.doc_id") == F.col("_id"), "left")
     whole = flagged.where("NOT _maybe").select("_row", F.lit(None).cast("array<bigint>").alias("_lost"))
     both = touched.select("_row", "_lost").unionByName(whole)
     parts = F.split(F.coalesce("_row.text", F.lit("")), "\n", -1)
     kept = F.filter(parts, lambda x, i: ~F.array_contains("_lost", i.cast("long")))
     text = F.when(F.col("_lost").isNull(), F.col("_row.text")).otherwise(F.array_join(kept, "\n"))
-    n_removed = F.coalesce(F.size("_lost"), F.lit(0)).cast("long")
+    removed = F.when(F.col("_lost").isNull(), F.lit(0)).otherwise(F.size("_lost")).cast("long")
     columns = [text.alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns]
-    removed = F.when(F.col("_lost").isNull(), F.lit(0)).otherwise(n_removed).cast("long")
     return both.select(*columns, F.size(parts).cast("long").alias("n_lines"), removed.alias("n_removed"))

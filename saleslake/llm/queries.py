@@ -9,6 +9,7 @@ from saleslake.llm import (
     bpe_automaton,
     decontamination,
     jaccard_join,
+    licenses,
     line_dedup,
     quality_crf,
     quality_rules,
@@ -81,6 +82,23 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, its own or that of its directory.
+
+    Documents lie in ``source/thousand/fifty``; every 50th of them lies one level up, every
+    1,000th two. Any document with a licence line of its own licenses its directory.
+    """
+    i = F.col("doc_id")
+    deep = F.concat_ws("/", "source", F.floor(i / 1000).cast("string"), F.floor(i / 50).cast("string"), i.cast("string"))
+    middle = F.concat_ws("/", "source", F.floor(i / 1000).cast("string"), i.cast("string"))
+    high = F.concat_ws("/", "source", i.cast("string"))
+    path = F.when(i % 1000 == 0, high).when(i % 50 == 0, middle).otherwise(deep)
+    files = table(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path"))
+    found = licenses.own_licences(files).drop("text")
+    similarity = F.rint(F.col("similarity") * 1e6) / 1e6
+    return licenses.inherit(found, any_file=True).withColumn("similarity", similarity)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a WARC record in a ZIP package, read back by ranges."""
     pages = warc.classify(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -108,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op4_quality_crf": op4_quality_crf,
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
+    "op7_license_scan": op7_license_scan,
     "op8_warc": op8_warc,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
