@@ -6,8 +6,10 @@ set's key for a segment is a hash of its elements there; sets of the next larger
 under the smaller band's segments.
 
 * Equal sets are one class, whatever their number; only classes have keys.
+* Proposed pairs must pass the sizes and a parity filter, 512 bits of each set that bound the
+  difference of two sets from below; they are verified on the true sets.
 * Every key with several classes proposes each class with one of them (a star, not all pairs).
-  Proposals are verified on the true sets, and verified links make components.
+  Verified links make components.
 * Only keys whose classes still lie in different components propose the rest of their pairs. If a
   segment's keys would propose more pairs than it costs to index another segment with its
   one-deletion neighbourhoods, it is given up for that other segment: an exchange of one for one
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -148,12 +150,35 @@ def _sum_by_set(value: np.ndarray, at: np.ndarray) -> np.ndarray:
     return sums[at[1:]] - sums[at[:-1]]
 
 
+PARITY = [f"parity{k}" for k in range(8)]
 SUMMARY = T.StructType(
-    [T.StructField(n, T.LongType()) for n in ("doc_id", "n", "class", "class2")]
+    [T.StructField(n, T.LongType()) for n in ("doc_id", "n", "class", "class2", *PARITY)]
     + [T.StructField("keys", T.ArrayType(T.LongType()))]
 )
 
 
+def _parities(value: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """512 bits by hash: whether a set has an odd number of elements there."""
+    place = arrays.mix(value + _COUNT)
+    word = (place >> np.uint64(6)) & np.uint64(7)
+    bit = np.uint64(1) << (place & np.uint64(63))
+    found = []
+    for k in range(len(PARITY)):
+        mine = np.where(word == k, bit, np.uint64(0))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.bitwise_xor.accumulate(mine)])
+        found.append((sums[at[1:]] ^ sums[at[:-1]]).view(np.int64))
+    return found
+
+
+def _may_link(join: Join, one: str, two: str) -> Column:
+    """False for pairs that can't link by their sizes, or by the parity bits in which they differ:
+    every such bit is an element that only one of both has."""
+    a, b = F.col(f"n{one}"), F.col(f"n{two}")
+    apart = sum(F.bit_count(F.col(f"{p}{one}").bitwiseXOR(F.col(f"{p}{two}"))) for p in PARITY)
+    fits = join.den * F.least(a, b) >= join.num * F.greatest(a, b)
+    return fits & ((join.num + join.den) * apart <= (join.den - join.num) * (a + b))
+
+
 def summaries(docs: DataFrame, join: Join) -> DataFrame:
     """For each row: size of the set, two hashes of the whole set, and its keys."""
 
@@ -166,7 +191,8 @@ def summaries(docs: DataFrame, join: Join) -> DataFrame:
             keys, out = join.keys(value, at)
             listed = pa.ListArray.from_arrays(pa.array(out, pa.int32()), pa.array(keys.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(size), pa.array(one), pa.array(two), listed], names=SUMMARY.names
+                [rows.column("doc_id"), *map(pa.array, (size, one, two, *_parities(value, at))), listed],
+                names=SUMMARY.names,
             )
 
     return docs.select("doc_id", "text").mapInArrow(run, SUMMARY)
@@ -200,11 +226,11 @@ def _stars(members: DataFrame) -> DataFrame:
 
 def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
     """Pairs (a, b) of nodes whose sets link, from pairs of classes."""
-    mine = classes.select(F.col("class").alias("a"), F.col("node").alias("node_a"), F.col("n").alias("n_a"))
-    other = classes.select(F.col("class").alias("b"), F.col("node").alias("node_b"), F.col("n").alias("n_b"))
-    near = pairs.join(mine, "a").join(other, "b")
-    fits = join.den * F.least("n_a", "n_b") >= join.num * F.greatest("n_a", "n_b")
-    named = stored(near.where(fits & (F.col("node_a") != F.col("node_b"))).select("node_a", "node_b", "n_a", "n_b"))
+    mine, other = (
+        classes.select(F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", *PARITY)]) for x in "ab"
+    )
+    near = pairs.join(mine, "a").join(other, "b").where(_may_link(join, "_a", "_b"))
+    named = stored(near.where("node_a != node_b").select("node_a", "node_b"))
     nodes = named.selectExpr("node_a AS doc_id").unionByName(named.selectExpr("node_b AS doc_id")).distinct()
     sets = stored(_sets(docs, nodes, join).join(nodes, "doc_id", "left_semi"))
     left = sets.select(F.col("doc_id").alias("node_a"), F.col("shingles").alias("set_a"))
@@ -236,8 +262,8 @@ def _sets(docs: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
 
 def _rest(members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
     """Members of keys whose classes lie in different components, with the component."""
-    named = members.join(classes.select("class", "node"), "class").join(found, "node", "left")
-    placed = named.select("key", "slot", "class", F.coalesce("component", "node").alias("component"))
+    named = members.join(classes.select("class", "node", "n", *PARITY), "class").join(found, "node", "left")
+    placed = named.select("key", "slot", "class", "n", *PARITY, F.coalesce("component", "node").alias("component"))
     split = placed.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")
     )
@@ -295,11 +321,12 @@ def _neighbourhoods(docs: DataFrame, classes: DataFrame, join: Join, wanted: set
     return members.join(several.select("key"), "key", "left_semi")
 
 
-def _open_pairs(rest: DataFrame) -> DataFrame:
-    """Pairs across components that share a key."""
-    one = rest.select("key", F.col("class").alias("a"), F.col("component").alias("of_a"))
-    two = rest.select("key", F.col("class").alias("b"), F.col("component").alias("of_b"))
-    return one.join(two, "key").where("of_a < of_b").select("a", "b").distinct()
+def _open_pairs(rest: DataFrame, join: Join) -> DataFrame:
+    """Pairs across components that share a key and may link."""
+    names = ("class", "component", "n", *PARITY)
+    one, two = (rest.select("key", *[F.col(c).alias(f"{c}_{x}") for c in names]) for x in "ab")
+    near = one.join(two, "key").where((F.col("component_a") < F.col("component_b")) & _may_link(join, "_a", "_b"))
+    return near.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
 
 
 def join_documents(docs: DataFrame, join: Join = Join()) -> DataFrame:  # noqa: B008
@@ -307,7 +334,9 @@ def join_documents(docs: DataFrame, join: Join = Join()) -> DataFrame:  # noqa:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = stored(summaries(docs, join))
     full = rows.where("n > 0 AND doc_id IS NOT NULL")
-    classes = stored(full.groupBy("class", "class2", "n").agg(F.min("doc_id").alias("node")))
+    classes = stored(
+        full.groupBy("class", "class2", "n").agg(F.min("doc_id").alias("node"), *[F.max(p).alias(p) for p in PARITY])
+    )
     members = stored(_members(full, join))
     links = _verified(docs, _stars(members), classes, join)
     rest = stored(_rest(members, classes, components(links)))
@@ -318,11 +347,11 @@ def join_documents(docs: DataFrame, join: Join = Join()) -> DataFrame:  # noqa:
         links = links.unionByName(_verified(docs, _stars(more), classes, join))
         rest = stored(_rest(rest.select("key", "slot", "class").unionByName(more), classes, components(links)))
     if not rest.isEmpty():
-        links = links.unionByName(_verified(docs, _open_pairs(rest), classes, join))
+        links = links.unionByName(_verified(docs, _open_pairs(rest, join), classes, join))
     found = components(links)
     placed = classes.join(found, "node", "left").select(
         "class", "class2", "n", F.coalesce("component", "node").alias("of_class")
     )
     own = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("of_class"))
-    joined = rows.drop("keys").join(placed, ["class", "class2", "n"], "left")
+    joined = rows.select("doc_id", "n", "class", "class2").join(placed, ["class", "class2", "n"], "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
