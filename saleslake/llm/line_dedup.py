@@ -131,20 +131,34 @@ def line_table(docs: DataFrame, ranks, similarity: Similarity) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, LINES)
 
 
-def candidates(lines: DataFrame, s: Similarity) -> DataFrame:
-    """Pairs of classes (a, b) that pass all filters; a is not the larger one."""
-    words = lines.select("class", "size", "parity", F.posexplode("prefix").alias("at", "word")).distinct()
-    y = words.select("word", *[F.col(c).alias(f"{c}_b") for c in ("class", "size", "parity", "at")])
-    # As the smaller of a pair a line shares a word within |x| - ceil(2t / (1 + t) |x|) + 1.
-    short = F.col("size") - F.ceil(2 * s.num * F.col("size") / F.lit(s.num + s.den) - 1e-9) + 1
-    x = words.where(F.col("at") < short).select("word", *[F.col(c).alias(f"{c}_a") for c in ("class", "size", "parity", "at")])
-    total = F.col("size_a") + F.col("size_b")
-    rest = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
+def candidates(lines: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
+    """Pairs of classes (a, b) that pass all filters; a is not the larger one.
+
+    Only the first line of each class has postings. Both sides of the join are one shuffle. The
+    positional filter implies the shorter prefix of the smaller side.
+    """
+    first = classes.select("class", "place.*")
+    words = (
+        lines.join(first, ["class", "doc_id", "line"])
+        .select("class", "size", "parity", F.posexplode("prefix").alias("at", "word"))
+        .select(
+            F.col("word").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("word"),  # half of the hash: words that collide only make more candidates
+            "class",
+            "parity",
+            (F.col("size") * (1 << 32) + F.col("at")).alias("both"),
+        )
+    )
+    x, y = (words.select("word", *[F.col(c).alias(f"{c}_{n}") for c in ("class", "parity", "both")]) for n in "ab")
+    (size_a, at_a), (size_b, at_b) = (
+        (F.shiftright(f"both_{n}", 32), F.col(f"both_{n}").bitwiseAND(F.lit((1 << 32) - 1))) for n in "ab"
+    )
+    total = size_a + size_b
+    rest = F.least(size_a - at_a, size_b - at_b)
     apart = F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b")))
     joined = x.join(y, "word").where(
         (F.col("class_a") != F.col("class_b"))
-        & (F.col("size_a") <= F.col("size_b"))
-        & (s.den * F.col("size_a") >= s.num * F.col("size_b"))
+        & (size_a <= size_b)
+        & (s.den * size_a >= s.num * size_b)
         & ((s.num + s.den) * rest >= s.num * total)
         & ((s.num + s.den) * apart <= (s.den - s.num) * total)
     )
@@ -186,7 +200,9 @@ def removed_lines(docs: DataFrame, similarity: Similarity = Similarity()) -> Dat
     lines = stored(line_table(docs, ranks, s))
     place = F.struct("doc_id", "line")
     classes = stored(lines.groupBy("class").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n")))
-    pairs = stored(candidates(lines, s))
+    pairs = stored(candidates(lines, classes, s))
+    wide, lines = lines, stored(lines.select("class", "doc_id", "line"))
+    drop(wide)
     wanted = pairs.selectExpr("a AS class").unionByName(pairs.selectExpr("b AS class")).distinct()
     places = stored(classes.join(wanted, "class", "left_semi").select("class", "place.*"))
     sets = stored(_full_sets(docs, places, s))
