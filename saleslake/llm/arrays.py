@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2_000_000  # text handled at once; bounds a worker's memory
+SLICE_BYTES = 1_000_000  # text handled at once; bounds a worker's memory
 
 # Fixed values of the word hash: an odd base and a seed for one random number per byte value.
 _BASE = 0x9E3779B97F4A7C15 | 5
