@@ -13,6 +13,7 @@ from saleslake.llm import (
     line_dedup,
     quality_crf,
     quality_rules,
+    substring_dedup,
     token_counts,
     warc,
 )
@@ -44,6 +45,12 @@ def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that strings of 100 bytes cover which also start earlier."""
+    found = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside benchmark passages, and the items that occur."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -122,6 +129,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe_encode_decode": op1_bpe_encode_decode,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_quality_crf": op4_quality_crf,
     "op5_quality_rules": op5_quality_rules,
