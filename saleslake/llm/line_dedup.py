@@ -166,9 +166,13 @@ def candidates(lines: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame
 
 
 def _full_sets(docs: DataFrame, places: DataFrame, similarity: Similarity) -> DataFrame:
-    """(class, words) of the classes whose first lines lie in the given documents, once each."""
+    """(class, place, words) of the first lines of the given classes, once each.
+
+    Two bitmaps keep other documents from being split and other lines from being shuffled.
+    """
     spark = docs.sparkSession
     bits = spark.sparkContext.broadcast(bitmaps.bitmap(places, "doc_id"))
+    class_bits = spark.sparkContext.broadcast(bitmaps.bitmap(places, "class"))
     schema = T.StructType().add("doc_id", T.LongType()).add("line", T.LongType()).add("words", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +185,8 @@ def _full_sets(docs: DataFrame, places: DataFrame, similarity: Similarity) -> Da
                 part = data[offsets[low] : offsets[high]]
                 hashes, at, first = line_sets(part, offsets[low : high + 1] - offsets[low], ranks)
                 size = np.diff(at)
-                used = np.flatnonzero(size >= similarity.min_words)
+                wanted = bitmaps.contains(class_bits.value, _class(hashes, at))
+                used = np.flatnonzero((size >= similarity.min_words) & wanted)
                 owner = np.repeat(np.arange(high - low), np.diff(first))[used]
                 flat = hashes[arrays.ragged_index(at[:-1][used], size[used])].view(np.int64)
                 listed = pa.ListArray.from_arrays(pa.array(arrays.offsets_of(size[used]), pa.int32()), pa.array(flat))
@@ -189,7 +194,8 @@ def _full_sets(docs: DataFrame, places: DataFrame, similarity: Similarity) -> Da
                 yield pa.RecordBatch.from_arrays([*plain, listed], names=schema.names)
 
     found = docs.select("doc_id", "text").mapInArrow(run, schema)
-    return found.join(places, ["doc_id", "line"]).select("class", "words").dropDuplicates(["class"])
+    named = found.join(places, ["doc_id", "line"])
+    return named.select("class", F.struct("doc_id", "line").alias("place"), "words").dropDuplicates(["class"])
 
 
 def removed_lines(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:  # noqa: B008
@@ -206,9 +212,9 @@ def removed_lines(docs: DataFrame, similarity: Similarity = Similarity()) -> Dat
     wanted = pairs.selectExpr("a AS class").unionByName(pairs.selectExpr("b AS class")).distinct()
     places = stored(classes.join(wanted, "class", "left_semi").select("class", "place.*"))
     sets = stored(_full_sets(docs, places, s))
-    named = places.select("class", place.alias("place"))
-    left = sets.join(named, "class").select(F.col("class").alias("a"), F.col("words").alias("words_a"), F.col("place").alias("place_a"))
-    right = sets.join(named, "class").select(F.col("class").alias("b"), F.col("words").alias("words_b"), F.col("place").alias("place_b"))
+    left, right = (
+        sets.select(F.col("class").alias(x), F.col("words").alias(f"words_{x}"), F.col("place").alias(f"place_{x}")) for x in "ab"
+    )
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("words_a", "words_b"))
     links = both.where(s.den * common >= s.num * (F.size("words_a") + F.size("words_b") - common))
