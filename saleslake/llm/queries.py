@@ -101,7 +101,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     high = F.concat_ws("/", "source", i.cast("string"))
     path = F.when(i % 1000 == 0, high).when(i % 50 == 0, middle).otherwise(deep)
     files = table(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path"))
-    found = licenses.own_licences(files).drop("text")
+    found = stored(licenses.own_licences(files).drop("text"))
     similarity = F.rint(F.col("similarity") * 1e6) / 1e6
     return licenses.inherit(found, any_file=True).withColumn("similarity", similarity)
 
