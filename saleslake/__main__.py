@@ -9,7 +9,7 @@ from saleslake.session import builder
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="saleslake", description=__doc__)
-    parser.add_argument("--audit", help="folder for the audit table; printed if not given")
+    parser.add_argument("--audit", help="folder for the audit table; next to the target if not given")
     steps = parser.add_subparsers(dest="step", required=True)
     bronze = steps.add_parser("bronze", help="workbooks to bronze")
     silver = steps.add_parser("silver", help="bronze to silver")
@@ -35,11 +35,10 @@ def main() -> None:
         audit = run_silver(spark, args.source, args.rates, args.target, args.fill)
     else:
         audit = run_gold(spark, args.source, args.target, args.scope)
-    if args.audit:
-        audit.write.mode("append").parquet(args.audit)
-    else:
-        audit.groupBy("status").count().show()
-        audit.where("status <> 'ok'").show(50, truncate=False)
+    folder = args.audit or f"{args.target.rstrip('/')}_audit/{args.step}"
+    audit.write.mode("append").parquet(folder)
+    print(f"audit: {folder}")
+    audit.groupBy("status").count().show()
 
 
 if __name__ == "__main__":

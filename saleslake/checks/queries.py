@@ -61,6 +61,7 @@ from saleslake.plans.silver import silver_build
 from saleslake.schemas import (
     BRONZE_STORED,
     DOUBLE_COLUMNS,
+    GOLD_INPUT,
     INTEGER_COLUMNS,
     RAW_REQUIRED,
     SILVER,
@@ -335,13 +336,13 @@ def join_best_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_best_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = stage(silver_view(spark, sf_dir))
+    silver = stage(silver_view(spark, sf_dir).select(*GOLD_INPUT, *UNIT))
     best = top_day(bucket_sales(daily_totals(silver), "DIA_MES"))
     return attach(_product_keys(product_months(silver)), stage(best))
 
 
 def join_best_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = stage(silver_view(spark, sf_dir))
+    silver = stage(silver_view(spark, sf_dir).select(*GOLD_INPUT, *UNIT))
     best = top_weekday(bucket_sales(daily_totals(silver), "DIA_SEMANA"))
     return attach(_product_keys(product_months(silver)), stage(best))
 
@@ -433,11 +434,14 @@ def silver_layer_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(gold_build(stage(_silver_of_dirty(spark, sf_dir)), stage=stage))
+    """The stages write tables while the plan is built; ``stage`` overwrites them on the next call."""
+    silver = stage(_silver_of_dirty(spark, sf_dir).select(*GOLD_INPUT, *UNIT))
+    return rounded(gold_build(silver, "chain", stage))
 
 
 def gold_layer_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(gold_build(stage(_silver_of_dirty(spark, sf_dir)), "partition", stage))
+    silver = stage(_silver_of_dirty(spark, sf_dir).select(*GOLD_INPUT, *UNIT))
+    return rounded(gold_build(silver, "partition", stage))
 
 
 def raw_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:

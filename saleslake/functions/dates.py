@@ -22,11 +22,12 @@ MONTHS = [
     "Diciembre",
 ]
 DAYS_OF_MONTH = list(range(1, 32))
-DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
-# Formats that a plain cast reads, with the shape that keeps other texts away from the cast.
-CAST_SHAPES = {
-    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$",
-    "yyyy-MM-dd": r"^\d{4}-\d\d-\d\d$",
+ISO = "ISO"  # a date, or date and time with T or a blank, seconds and fraction optional
+DATE_FORMATS = (ISO, "yyyyMMdd")
+# Shapes that keep other texts away from a parser: a failing one costs far more than a match.
+SHAPES = {
+    ISO: r"^\d{4}-\d\d-\d\d([T ]\d\d:\d\d(:\d\d(\.\d{1,9})?)?)?$",
+    "yyyyMMdd": r"^\d{8}$",
 }
 
 
@@ -35,9 +36,8 @@ def to_ts(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     text = F.trim(c.cast("string"))
 
     def read(format: str) -> Column:
-        if format in CAST_SHAPES:
-            return F.when(text.rlike(CAST_SHAPES[format]), text.try_cast("timestamp"))
-        return F.try_to_timestamp(text, F.lit(format))
+        read = text.try_cast("timestamp") if format == ISO else F.try_to_timestamp(text, F.lit(format))
+        return F.when(text.rlike(SHAPES[format]), read) if format in SHAPES else read
 
     return F.coalesce(*[read(f) for f in formats])
 
@@ -50,11 +50,5 @@ def weekday_es(c: Column) -> Column:
     return _name(WEEKDAYS, F.weekday(c))
 
 
-def weekday_position(c: Column) -> Column:
-    """Monday = 1 … Sunday = 7 for a Spanish weekday name; null for any other text."""
-    found = F.array_position(F.array(*[F.lit(n) for n in WEEKDAYS]), c)
-    return F.nullif(found, F.lit(0))
-
-
 def month_es(month: Column) -> Column:
     return _name(MONTHS, month - 1)

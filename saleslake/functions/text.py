@@ -20,6 +20,8 @@ WHITESPACE = "".join(
         0x3000,
     ]
 )
+# Fixed value: what a workbook's name has in front of the branch.
+BRANCH_PREFIX = r"(?i)ventas[_\s-]*"
 # Fixed value: directory layout of one branch-month.
 UNIT_PATH = r"sucursal=([^/]+)/year=(\d+)/month=(\d+)/"
 
@@ -38,15 +40,24 @@ def branch_from_path(path: Column) -> Column:
     """Branch name of a workbook: file stem without every "ventas" prefix and without blanks."""
     file_name = F.regexp_extract(path, r"([^/]*)$", 1)
     stem = F.regexp_replace(file_name, r"(?<=.)\.[^.]*$", "")
-    return F.replace(F.regexp_replace(stem, r"(?i)ventas[_\s-]*", ""), F.lit(" "), F.lit(""))
+    return F.replace(F.regexp_replace(stem, BRANCH_PREFIX, ""), F.lit(" "), F.lit(""))
+
+
+def _decoded(c: Column) -> Column:
+    """Percent-encoded text decoded; unlike in forms a plus sign stays one."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
 
 
 def partition_values(path: Column) -> tuple[Column, Column, Column]:
-    """(sucursal, year, month) of a branch-month path; null where the path has another shape."""
+    """(sucursal, year, month) of a branch-month path; null where the path has another shape.
+
+    The path is a URI, as in ``_metadata.file_path``, and the writer escapes some characters of
+    a partition's name itself: both are undone.
+    """
     matched = path.rlike(UNIT_PATH)
     branch, year, month = (F.regexp_extract(path, UNIT_PATH, i) for i in (1, 2, 3))
     return (
-        F.when(matched, branch),
+        F.when(matched, _decoded(_decoded(branch))),
         F.when(matched, year).try_cast("int"),
         F.when(matched, month).try_cast("int"),
     )

@@ -42,26 +42,35 @@ def raw_audit(raw: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFram
     audited = load_audit(
         raw, ["path", "sheet"], {"data_rows": data_row, "bad_dates": bad_date}, raw_reason()
     )
-    return audited.drop("row_count")
+    undated = F.col("reason").isNull() & (F.col("data_rows") > 0) & (F.col("bad_dates") == F.col("data_rows"))
+    return audited.withColumns(
+        {
+            "reason": F.when(undated, F.lit("no_valid_dates")).otherwise(F.col("reason")),
+            "status": F.when(undated, F.lit("empty")).otherwise(F.col("status")),
+        }
+    ).drop("row_count")
 
 
-def unit_audit(report: DataFrame, output: DataFrame) -> DataFrame:
-    """Audit per branch-month: input rows, output rows, missing columns, empty outputs.
+def unit_audit(
+    report: DataFrame, rows: DataFrame, output: DataFrame, without_rate: Column | None = None
+) -> DataFrame:
+    """Audit per branch-month: input and output rows, lines without a rate, columns, status.
 
-    ``report`` comes from ``columns_without_values`` on the input.
+    ``report`` comes from ``unit_contract`` on the input, ``rows`` counts the input.
     """
-    written = output.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("rows_out"))
-    audited = report.join(written, UNIT, "left")
-    rows_out = F.coalesce("rows_out", F.lit(0))
-    failed = F.col("missing") != ""
-    reason = F.when(failed, F.concat(F.lit("missing_columns: "), F.col("missing"))).when(
-        rows_out == 0, F.lit("no_output_rows")
-    )
+    lacking = F.count_if(without_rate) if without_rate is not None else F.lit(None).cast("bigint")
+    written = output.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("_out"), lacking.alias("rows_without_rate"))
+    audited = report.join(rows, UNIT, "left").join(written, UNIT, "left")
+    rows_out = F.coalesce("_out", F.lit(0))
+    failed = F.col("reason").isNotNull()
+    reason = F.coalesce("reason", F.when(rows_out == 0, F.lit("no_output_rows")))
     status = F.when(failed, "failed").when(rows_out == 0, "empty").otherwise("ok")
     return audited.select(
         *UNIT,
         F.col("row_count").alias("rows_in"),
         rows_out.alias("rows_out"),
+        "rows_without_rate",
+        F.when(F.col("unexpected") != "", F.col("unexpected")).alias("unexpected"),
         reason.alias("reason"),
         status.alias("status"),
     )

@@ -61,19 +61,6 @@ def contract_report(raw: DataFrame, unit: Sequence[str] = ("path", "sheet")) ->
     )
 
 
-def columns_without_values(df: DataFrame, required: Sequence[str], unit: Sequence[str]) -> DataFrame:
-    """One row per unit with the required columns that hold no value in it.
-
-    A file that lacks a column reads as nulls under a declared schema, so this finds the
-    branch-months whose own file breaks the contract, in one aggregate without a footer scan.
-    """
-    counted = df.groupBy(*unit).agg(
-        F.count(F.lit(1)).alias("row_count"), *[F.count(c).alias(c) for c in required]
-    )
-    absent = F.array(*[F.when(F.col(c) == 0, F.lit(c)) for c in required])
-    return counted.select(*unit, "row_count", _joined(F.array_compact(absent)).alias("missing"))
-
-
 def reject_units(df: DataFrame, rejected: DataFrame, unit: Sequence[str]) -> DataFrame:
     """Rows whose unit is not listed in ``rejected``."""
     return df.join(rejected.select(*unit), list(unit), "left_anti")

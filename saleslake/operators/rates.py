@@ -30,11 +30,14 @@ def conform_rates(raw: DataFrame) -> DataFrame:
     )
 
 
+def on_calendar() -> Column:
+    return F.col("month").between(1, 12) & F.col("year").between(1, 9999)
+
+
 def unique_rates(rates: DataFrame, order_col: str) -> DataFrame:
     """One rate per calendar month: the first non-null one in file order."""
-    on_calendar = F.col("month").between(1, 12) & F.col("year").between(1, 9999)
     first = F.min_by(RATE, F.when(F.col(RATE).isNotNull(), F.col(order_col)))
-    return rates.where(on_calendar).groupBy("year", "month").agg(first.alias(RATE))
+    return rates.where(on_calendar()).groupBy("year", "month").agg(first.alias(RATE))
 
 
 def fill_rates(rates: DataFrame) -> DataFrame:
@@ -55,12 +58,17 @@ def fill_rates(rates: DataFrame) -> DataFrame:
 
 
 def join_rates(df: DataFrame, rates: DataFrame, fill: str = "none") -> DataFrame:
-    """Left join of the month's rate as TIPO_CAMBIO; ``rates`` holds one row per month.
+    """Left join of the month's rate as TIPO_CAMBIO.
 
+    ``rates`` are reduced to one row per calendar month here, so that no caller can multiply
+    lines or broadcast more than the calendar: by file order where they have ``ord``, else
+    the smallest rate of the month.
     ``fill="calendar"`` carries the latest known rate into months without one, including
     months after the end of the rates table.
     """
     sales_month = month_number(F.col("YEAR"), F.col("MONTH"))
+    order = "ord" if "ord" in rates.columns else RATE
+    rates = unique_rates(rates, order)
     if fill == "calendar":
         rates = fill_rates(rates)
         last = rates.agg(F.max(month_number(F.col("year"), F.col("month")))).scalar()

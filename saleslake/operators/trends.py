@@ -21,23 +21,27 @@ DOMAINS = {"DIA_SEMANA": WEEKDAYS, "DIA_MES": DAYS_OF_MONTH}
 def daily_totals(silver: DataFrame, measure: str = "VENTA_USD") -> DataFrame:
     """Sum and number of non-null lines per branch-month, day of month and weekday.
 
-    The domain is filtered here and the sum is written in terms of the count, so that all
-    consumers need the same rows and the same two aggregates and share one exchange.
+    No line is left out: a line without a day counts for its weekday and the other way round.
+    The sum is written in terms of the count, so that all consumers need the same two
+    aggregates and share one exchange.
     """
     lines = F.count(measure)
     total = F.when(lines == 0, F.lit(0.0)).otherwise(F.sum(measure))
-    day, weekday = F.col("DIA_MES"), F.col("DIA_SEMANA")
-    dated = silver.where(day.isNotNull() & weekday.isNotNull()).where(
-        day.between(1, 31) & weekday.isin(WEEKDAYS)
-    )
-    return dated.groupBy(*UNIT, "DIA_MES", "DIA_SEMANA").agg(
+    return silver.groupBy(*UNIT, "DIA_MES", "DIA_SEMANA").agg(
         total.alias(measure), lines.alias(LINES)
     )
 
 
+def _known(bucket: str) -> Column:
+    """The bucket as an aggregate: a filter on it stays above the aggregate, so that consumers
+    with different buckets still share the daily totals below."""
+    return F.max(bucket).alias("_known")
+
+
 def bucket_sales(daily: DataFrame, bucket: str, measure: str = "VENTA_USD") -> DataFrame:
     """Sales per branch-month and bucket (day of month or weekday)."""
-    return daily.groupBy(*UNIT, bucket).agg(F.sum(measure).alias(measure))
+    sums = daily.groupBy(*UNIT, bucket).agg(F.sum(measure).alias(measure), _known(bucket))
+    return sums.where("_known IS NOT NULL").drop("_known")
 
 
 def profile(
@@ -45,7 +49,8 @@ def profile(
 ) -> DataFrame:
     """Mean per line for each bucket and key; null where no line has a value."""
     mean = F.try_divide(F.sum(measure), F.sum(LINES).cast("double"))
-    return daily.groupBy(*keys, bucket).agg(mean.alias(measure))
+    means = daily.groupBy(*keys, bucket).agg(mean.alias(measure), _known(bucket))
+    return means.where("_known IS NOT NULL").drop("_known")
 
 
 def weekday_profile(daily: DataFrame, measure: str = "VENTA_USD") -> DataFrame:
@@ -98,14 +103,20 @@ def trend(
     if scope == "chain":
         entity = ["SUCURSAL"]
         own = profile(daily, entity, bucket, measure)
-        # At most seven weekdays or 31 days: daily_totals keeps the domain only.
-        overall = F.broadcast(
-            profile(daily, [], bucket, measure).withColumnRenamed(measure, "_all")
-        )
-        pairs = own.join(overall, bucket, "left")
+        overall = profile(daily, [], bucket, measure).withColumnRenamed(measure, "_all")
+        if bucket == "DIA_SEMANA":  # the seven names only, so the broadcast has seven rows
+            names = F.max(F.when(F.col(bucket).isin(WEEKDAYS), F.col(bucket))).alias("_known")
+            week = overall.groupBy(bucket).agg(F.max("_all").alias("_all"), names)
+            overall = F.broadcast(week.where("_known IS NOT NULL").drop("_known"))
+        # A null-safe join lets no null filter down to the sales: both sides share one pass.
+        same = F.col(bucket).eqNullSafe(F.col("_bucket"))
+        pairs = own.join(overall.withColumnRenamed(bucket, "_bucket"), same, "left")
     elif scope == "partition":
         entity = UNIT
-        pairs = profile(daily, entity, bucket, measure).withColumn("_all", F.col(measure))
+        known = F.col(bucket).isin(WEEKDAYS) if bucket == "DIA_SEMANA" else F.lit(True)
+        pairs = profile(daily, entity, bucket, measure).withColumn(
+            "_all", F.when(known, F.col(measure))
+        )
     else:
         raise ValueError(f"scope must be 'chain' or 'partition', not {scope!r}")
     r = F.round(correlation(F.col(measure), F.col("_all")), 12)

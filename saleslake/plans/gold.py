@@ -20,14 +20,10 @@ from saleslake.operators.trends import (
     trend_flags,
     weekly_trend,
 )
-from saleslake.schemas import GOLD, SILVER, UNIT
+from saleslake.schemas import GOLD, GOLD_INPUT, UNIT
 from saleslake.sources.staging import Stage
 
 
-def _as_is(df: DataFrame) -> DataFrame:
-    return df
-
-
 def unit_summary(products: DataFrame, daily: DataFrame, scope: str = "chain") -> DataFrame:
     """One row per branch-month: best product, day and weekday, and the trend flags."""
     summary = attach(top_product(products), top_day(bucket_sales(daily, "DIA_MES")))
@@ -36,14 +32,14 @@ def unit_summary(products: DataFrame, daily: DataFrame, scope: str = "chain") ->
     return attach(summary, flags, ["SUCURSAL"] if scope == "chain" else UNIT)
 
 
-def gold_build(silver: DataFrame, scope: str = "chain", stage: Stage = _as_is) -> DataFrame:
-    """Gold rows of all branch-months in ``silver``.
+def gold_build(silver: DataFrame, scope: str, stage: Stage) -> DataFrame:
+    """Gold rows of all branch-months in ``silver``, a stored table.
 
     Everything follows from two aggregates of silver, products and daily totals. ``stage``
-    may write the results that have several consumers (these two) or whose size decides a join
-    (the branch-month summary); silver is then read exactly twice.
+    writes the results that have several consumers (these two) or whose size decides a join
+    (the branch-month summary) while the plan is built; silver is then read exactly twice.
     """
-    check_contract(silver, SILVER.fieldNames()).require("silver")
+    check_contract(silver, GOLD_INPUT).require("silver")
     products = stage(product_months(silver))
     daily = stage(daily_totals(silver))
     summary = stage(unit_summary(products, daily, scope))

@@ -8,7 +8,7 @@ from saleslake.operators.cleaning import add_calendar, coerce_numbers
 from saleslake.operators.contract import check_contract
 from saleslake.operators.rates import join_rates
 from saleslake.operators.sales import dedup_lines, metrics_ars, metrics_usd, positive_sales
-from saleslake.schemas import RAW_REQUIRED, SILVER, SOURCE_COLUMNS, UNIT
+from saleslake.schemas import EXTRA, RAW_REQUIRED, SILVER, SOURCE_COLUMNS, UNIT
 
 
 def silver_lines(
@@ -17,7 +17,7 @@ def silver_lines(
     fill: str = "none",
     source_order: Sequence[str] = SOURCE_COLUMNS,
 ) -> DataFrame:
-    """Silver lines from typed sales lines.
+    """Silver lines from typed sales lines; columns beyond the contract travel along in ``_extra``.
 
     Duplicates go before everything that is computed from the typed columns: the derived
     columns depend on the row alone, so they need not travel through the shuffle. The
@@ -25,7 +25,8 @@ def silver_lines(
     """
     sold = positive_sales(metrics_ars(dedup_lines(typed, source_order)))
     enriched = add_calendar(metrics_usd(join_rates(sold, rates, fill)))
-    return enriched.select(*SILVER.fieldNames(), *UNIT)
+    extra = [EXTRA] if EXTRA in typed.columns else []
+    return enriched.select(*SILVER.fieldNames(), *extra, *UNIT)
 
 
 def silver_build(

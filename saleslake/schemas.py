@@ -75,6 +75,7 @@ TICKET_LINE_KEYS = ["FECHA", "NUMERO_TICKET", "ID_ARTICULO"]
 
 # Where a row came from; kept in bronze so that "first row" stays defined after a shuffle.
 SOURCE_COLUMNS = ["_src_file", "_src_sheet_no", "_src_row"]
+EXTRA = "_extra"  # columns beyond the contract, by name
 
 
 def _silver_type(column: str) -> T.DataType:
@@ -121,7 +122,7 @@ BRONZE_STORED = T.StructType(
         T.StructField("_src_file", T.StringType()),
         T.StructField("_src_sheet_no", T.IntegerType()),
         T.StructField("_src_row", T.LongType()),
-        T.StructField("_extra", T.MapType(T.StringType(), T.StringType())),
+        T.StructField(EXTRA, T.MapType(T.StringType(), T.StringType())),
     ]
 )
 
@@ -131,6 +132,24 @@ SILVER = T.StructType(
     + [T.StructField("DIA_MES", T.LongType()), T.StructField("DIA_SEMANA", T.StringType())]
 )
 
+SILVER_STORED = T.StructType(
+    [*SILVER.fields, T.StructField(EXTRA, T.MapType(T.StringType(), T.StringType()))]
+)
+# What gold needs of silver, besides the branch-month.
+GOLD_INPUT = [
+    "ID_ARTICULO",
+    "DESC_ARTICULO",
+    "CANTIDAD_VENDIDA",
+    "VENTA_ARS",
+    "COSTO_ARS",
+    "MARGEN_ARS",
+    "VENTA_USD",
+    "COSTO_USD",
+    "MARGEN_USD",
+    "DIA_MES",
+    "DIA_SEMANA",
+]
+
 GOLD = T.StructType(
     [
         T.StructField("ID_ARTICULO", T.LongType()),

@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from saleslake.operators.contract import ContractReport
 from saleslake.schemas import PARTITION_COLUMNS, SOURCE_COLUMNS, UNIT, with_partitions
 
 
@@ -15,12 +14,14 @@ def read_layer(spark: SparkSession, root: str, schema: T.StructType) -> DataFram
     return layer.withColumnsRenamed(dict(zip(PARTITION_COLUMNS, UNIT, strict=True)))
 
 
-def stored_contract(spark: SparkSession, root: str, required: list[str]) -> ContractReport:
-    """Contract of a stored layer, from the merged file footers; no rows are read."""
-    stored = spark.read.option("mergeSchema", "true").option("pathGlobFilter", "*.parquet")
-    present = set(stored.parquet(root).columns) - set(PARTITION_COLUMNS)
-    wanted = set(required)
-    return ContractReport(tuple(sorted(wanted - present)), tuple(sorted(present - wanted)))
+def stored_names(spark: SparkSession, root: str) -> DataFrame:
+    """Names of all files of a layer; none if there is no layer yet."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], "name string")
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    files = listing.option("recursiveFileLookup", "true").load(root)
+    return files.select(F.regexp_extract("path", "([^/]*)$", 1).alias("name"))
 
 
 def with_source_order(layer: DataFrame) -> DataFrame:

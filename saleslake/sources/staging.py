@@ -26,11 +26,12 @@ def stage(df: DataFrame) -> DataFrame:
     """Write a table once and continue from the files.
 
     Used where a result has several consumers: readers prune columns, lineage ends at the
-    files, and the planner knows the real size of what it joins.
+    files, and the planner knows the real size of what it joins. A session has one folder for
+    each plan: staging the same plan again overwrites it, and the session's end deletes it.
     """
     spark = df.sparkSession
     root = f"{shared_dir(spark)}/staged/{spark.sparkContext.applicationId}"
-    path = f"{root}/{uuid.uuid4().hex}"
+    path = f"{root}/{df.semanticHash() & 0xFFFFFFFF:08x}-{len(df.columns)}"
     staged = _write(df, path)
     delete_at_exit(spark, path)
     return staged
@@ -59,5 +60,5 @@ class Staging:
 
 
 def _write(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

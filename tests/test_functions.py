@@ -51,6 +51,19 @@ def test_dates(spark):
     assert {got[t] for t in texts[2:]} == {(None,)}
 
 
+def test_iso_variants(spark):
+    want = {
+        "2024-01-05T10:30:00": datetime(2024, 1, 5, 10, 30),
+        "2024-01-05 10:30": datetime(2024, 1, 5, 10, 30),
+        "2024-01-05 10:30:00.250": datetime(2024, 1, 5, 10, 30, 0, 250_000),
+        "20240105": datetime(2024, 1, 5),
+        "20241305": None,
+        "2024-01-05T25:00": None,
+    }
+    got = values(spark, list(want), to_ts(F.col("t")))
+    assert got == {t: (v,) for t, v in want.items()}
+
+
 def test_date_format_is_opt_in(spark):
     formats = ["yyyy-MM-dd", "dd/MM/yyyy"]
     got = values(spark, ["05/03/2024", "2024-01-05"], to_ts(F.col("t"), formats))
@@ -71,6 +84,14 @@ def test_branch_names(spark, path, branch):
     assert values(spark, [path], branch_from_path(F.col("t"))) == {path: (branch,)}
 
 
+def test_partition_names_are_decoded(spark, tmp_path):
+    names = ["San Juan", "a:b", "50% + x", "ñ"]
+    spark.createDataFrame([(n, 2024, 1, 1) for n in names], "sucursal string, year int, month int, x int").write.partitionBy("sucursal", "year", "month").parquet(str(tmp_path / "layer"))
+    files = spark.read.parquet(str(tmp_path / "layer"))
+    branch, _, _ = partition_values(F.col("_metadata.file_path"))
+    assert {r[0] for r in files.select(branch).collect()} == set(names)
+
+
 def test_partition_values(spark):
     good, bad = "x/sucursal=007/year=2024/month=01/f.parquet", "x/sucursal=7/year=y/month=1/f"
     got = values(spark, [good, bad], *partition_values(F.col("t")))

@@ -5,12 +5,11 @@ from pyspark.sql import functions as F
 
 from saleslake.functions.dates import WEEKDAYS
 from saleslake.operators.aggregates import product_months, sum_by, top_day, top_product, top_weekday
+from saleslake.operators.audit import raw_audit
 from saleslake.operators.cleaning import cast_text, normalize_headers, trim_all
 from saleslake.operators.contract import (
     ContractError,
     check_contract,
-    columns_without_values,
-    reject_units,
 )
 from saleslake.operators.rates import (
     conform_rates,
@@ -20,8 +19,16 @@ from saleslake.operators.rates import (
     unique_rates,
 )
 from saleslake.operators.sales import dedup_lines, metrics_usd, positive_sales
-from saleslake.operators.trends import daily_totals, monthly_trend, profile, trend_flags, weekly_trend
-from saleslake.schemas import UNIT
+from saleslake.operators.trends import (
+    bucket_sales,
+    daily_totals,
+    monthly_trend,
+    profile,
+    trend_flags,
+    weekday_profile,
+    weekly_trend,
+)
+from saleslake.schemas import RAW, UNIT
 
 UNIT_DDL = "SUCURSAL string, YEAR int, MONTH int"
 LINE_DDL = f"{UNIT_DDL}, DIA_MES bigint, DIA_SEMANA string, VENTA_USD double"
@@ -168,14 +175,31 @@ def test_contracts(spark):
     assert normalize_headers(spark.createDataFrame([(1, 2)], [" fecha ", "Obs"])).columns == ["FECHA", "OBS"]
 
 
-def test_units_that_lack_a_column(spark):
-    df = spark.createDataFrame(
-        [("a", 2024, 1, "x", None), ("b", 2024, 1, "x", "y"), ("b", 2024, 1, None, "y")],
-        f"{UNIT_DDL}, c1 string, c2 string",
-    )
-    report = columns_without_values(df, ["c1", "c2"], UNIT)
-    assert {r.SUCURSAL: r.missing for r in report.collect()} == {"a": "c2", "b": ""}
-    assert reject_units(df, report.where("missing <> ''"), UNIT).count() == 2
+def test_no_line_is_lost_for_an_unknown_weekday_or_day(spark):
+    rows = [("a", 2024, 1, 5, "Miercoles", 100.0), ("a", 2024, 1, 6, "Jueves", 10.0), ("a", 2024, 1, None, "Jueves", 7.0), ("a", 2024, 1, 7, None, 3.0)]
+    silver = spark.createDataFrame(rows, f"{UNIT_DDL}, DIA_MES long, DIA_SEMANA string, VENTA_USD double")
+    daily = daily_totals(silver)
+    assert top_day(bucket_sales(daily, "DIA_MES")).first().DIA_MES_TOP_VENTAS == 5
+    assert {r.DIA_SEMANA: r.VENTA_USD for r in bucket_sales(daily, "DIA_SEMANA").collect()} == {"Miercoles": 100.0, "Jueves": 17.0}
+    assert {r.DIA_SEMANA for r in weekday_profile(daily).collect()} == set(WEEKDAYS)
+    for scope in ("chain", "partition"):  # one weekday of the seven: nothing to correlate
+        assert weekly_trend(daily, scope).first().CORRELACION_SEMANAL is None
+        assert monthly_trend(daily, scope).first().CORRELACION_MENSUAL == 1.0
+
+
+def test_sheet_with_only_bad_dates_is_empty(spark):
+    cells = {f: None for f in RAW.fieldNames()} | {"path": "raw/Ventas_N.xlsx", "missing": "", "unexpected": ""}
+    rows = [cells | {"sheet": s, "row_no": n, "FECHA": d} for s, n, d in [("a", 1, None), ("a", 2, "bad"), ("b", 2, "bad"), ("b", 3, "20240105")]]
+    raw = spark.createDataFrame([tuple(r[f] for f in RAW.fieldNames()) for r in rows], RAW)
+    got = {r.sheet: (r.status, r.reason, r.data_rows, r.bad_dates) for r in raw_audit(raw).collect()}
+    assert got == {"a": ("empty", "no_valid_dates", 1, 1), "b": ("ok", None, 2, 1)}
+
+
+def test_repeated_rates_multiply_no_line(spark):
+    sales = spark.createDataFrame([("a", 2024, 1), ("a", 2024, 2)], UNIT_DDL)
+    rates = spark.createDataFrame([(2024, 1, 9.0), (2024, 1, 8.0), (2024, 13, 1.0), (2024, 2, 5.0)], "year int, month int, exchange_rate_ars_usd double")
+    got = sorted((r.MONTH, r.TIPO_CAMBIO) for r in join_rates(sales, rates).collect())
+    assert got == [(1, 8.0), (2, 5.0)]
 
 
 def test_text_tables(spark):

@@ -10,10 +10,10 @@ from xlsx import Date, write_workbook
 from saleslake.operators.contract import ContractError
 from saleslake.plans.bronze import bronze_build
 from saleslake.plans.jobs import run_bronze, run_gold, run_silver
-from saleslake.schemas import BRONZE_STORED, GOLD, RAW_REQUIRED, SILVER, UNIT
+from saleslake.schemas import BRONZE_STORED, GOLD, RAW_REQUIRED, SILVER, SILVER_STORED, UNIT
 from saleslake.sources.layers import read_layer, write_layer
-from saleslake.sources.rates_file import load_rates, read_rates
-from saleslake.sources.staging import CHECKPOINT_DIR, Staging, shared_dir
+from saleslake.sources.rates_file import load_rates, off_calendar, read_rates
+from saleslake.sources.staging import CHECKPOINT_DIR, Staging, shared_dir, stage
 from saleslake.sources.tables import (
     create_database,
     preview,
@@ -210,8 +210,34 @@ def test_partitions_keep_text_and_are_replaced_one_by_one(spark, tmp_path):
 def test_layer_without_a_required_column_is_rejected(spark, rates_csv, tmp_path):
     root = str(tmp_path / "layer")
     write_layer(bronze_row(spark, "a", 1).drop("COSTO_ARTICULO"), root)
-    with pytest.raises(ContractError, match="COSTO_ARTICULO"):
-        run_silver(spark, root, rates_csv, str(tmp_path / "silver"))
+    (row,) = run_silver(spark, root, rates_csv, str(tmp_path / "silver")).collect()
+    assert (row.status, row.reason, row.rows_out) == ("failed", "missing_columns: COSTO_ARTICULO", 0)
+
+
+def test_column_without_values_is_no_missing_column(spark, rates_csv, tmp_path):
+    root, silver_root = str(tmp_path / "layer"), str(tmp_path / "silver")
+    write_layer(bronze_row(spark, "San Juan", 1).withColumn("DESC_RUBRO", F.lit(None).cast("string")), root)
+    (row,) = run_silver(spark, root, rates_csv, silver_root).collect()
+    assert (row.SUCURSAL, row.status, row.rows_in, row.rows_out, row.rows_without_rate) == ("San Juan", "ok", 1, 1, 0)
+
+
+def test_file_of_another_type_is_left_out(spark, rates_csv, tmp_path):
+    root, silver_root, gold_root = (str(tmp_path / n) for n in ("layer", "silver", "gold"))
+    write_layer(bronze_row(spark, "a", 1).unionByName(bronze_row(spark, "b", 1)), root)
+    run_silver(spark, root, rates_csv, silver_root)
+    silver = read_layer(spark, silver_root, SILVER)
+    write_layer(stage(silver.where("SUCURSAL = 'a'")).withColumn("VALOR_ARTICULO", F.lit(5).cast("bigint")), silver_root)
+    audit = {r.SUCURSAL: (r.status, r.reason) for r in run_gold(spark, silver_root, gold_root).collect()}
+    assert audit == {"a": ("failed", "unreadable_types: VALOR_ARTICULO int64"), "b": ("ok", None)}
+
+
+def test_extra_columns_reach_silver(spark, rates_csv, tmp_path):
+    root, silver_root = str(tmp_path / "layer"), str(tmp_path / "silver")
+    noted = bronze_row(spark, "a", 1).withColumn("_extra", F.create_map(F.lit("OBS"), F.lit("x")))
+    write_layer(noted.withColumn("OTRA", F.lit(1)), root)
+    (row,) = run_silver(spark, root, rates_csv, silver_root).collect()
+    assert row.unexpected == "OTRA"
+    assert [r._extra for r in read_layer(spark, silver_root, SILVER_STORED).collect()] == [{"OBS": "x"}]
 
 
 def test_one_file_without_a_required_column_is_left_out(spark, rates_csv, tmp_path):
@@ -236,6 +262,13 @@ def test_rates_file(spark, rates_csv, tmp_path):
     assert read_rates(spark, rates_csv).count() == 3
     got = {(r.year, r.month): r.exchange_rate_ars_usd for r in load_rates(spark, rates_csv).collect()}
     assert got == {(2024, 1): 800.0, (2024, 2): None}
+    folder = tmp_path / "rates"
+    folder.mkdir()
+    (folder / "1.csv").write_text("year,month,exchange_rate_ars_usd\n2024,1,800\n2024,13,1\n")
+    assert [r.month for r in off_calendar(read_rates(spark, str(folder))).collect()] == [13]
+    (folder / "2.csv").write_text("month,year,exchange_rate_ars_usd\n2,2024,900\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_rates(spark, str(folder)).collect()
     bad = tmp_path / "bad.csv"
     bad.write_text("year,month\n2024,1\n")
     with pytest.raises(ContractError):

@@ -1,5 +1,6 @@
 """What the physical plans must and must not contain."""
 
+import os
 import re
 
 from saleslake.checks.queries import QUERIES, stored_layer
@@ -10,7 +11,7 @@ from saleslake.plans.gold import gold_build
 from saleslake.plans.silver import silver_build
 from saleslake.schemas import SILVER
 from saleslake.sources.layers import read_layer
-from saleslake.sources.staging import stage
+from saleslake.sources.staging import shared_dir, stage
 
 SF_DIR = "/root/testdata/sf0.001"
 POSITION = ["_pos_line", "_pos_supplier", "_pos_quantity", "_pos_price"]
@@ -37,8 +38,8 @@ def test_no_python_workers_outside_the_workbook_reader(spark):
     for df in (
         bronze_build(raw_view(spark, SF_DIR)),
         silver_build(bronze_view(spark, SF_DIR), rates_view(spark, SF_DIR), source_order=POSITION),
-        gold_build(silver),
-        gold_build(silver, "partition"),
+        gold_build(silver, "chain", lambda df: df),
+        gold_build(silver, "partition", lambda df: df),
     ):
         assert not re.search(r"EvalPython|InPandas|MapInArrow", plan(df))
 
@@ -83,6 +84,16 @@ def test_partition_filters_and_column_pruning(spark):
     assert "ReadSchema: struct<VENTA_USD:double>" in text
 
 
+def test_staging_the_same_plan_again_leaves_no_more_files(spark):
+    root = f"{shared_dir(spark)}/staged/{spark.sparkContext.applicationId}".removeprefix("file://")
+
+    def files():
+        QUERIES["gold_build"](spark, SF_DIR)
+        return sum(len(names) for _, _, names in os.walk(root))
+
+    assert files() == files() > 0
+
+
 def test_trends_share_one_pass_over_the_sales(spark):
     silver = read_layer(spark, stored_layer(spark, SF_DIR, "silver"), SILVER)
     daily = daily_totals(silver)
@@ -99,7 +110,7 @@ def test_staged_gold_reads_silver_twice_and_joins_by_known_size(spark):
         plans.append(plan(df))
         return stage(df)
 
-    final = plan(gold_build(silver, stage=recording))
+    final = plan(gold_build(silver, "chain", recording))
     products, daily, summary = plans
     assert products.count("FileScan") == daily.count("FileScan") == 1
     assert "sucursal#" not in summary + final
