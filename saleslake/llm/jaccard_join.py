@@ -10,6 +10,7 @@ under the smaller band's segments.
   difference of two sets from below; they are verified on the true sets.
 * Every key with several classes proposes each class with one of them (a star, not all pairs).
   Verified links make components.
+* Keys whose classes lie in different components propose stars around other classes, a few times.
 * Only keys whose classes still lie in different components propose the rest of their pairs. If a
   segment's keys would propose more pairs than it costs to index another segment with its
   one-deletion neighbourhoods, it is given up for that other segment: an exchange of one for one
@@ -37,6 +38,7 @@ from saleslake.llm.tables import drop, stored
 
 _SALT = np.uint64(0xA0761D6478BD642F)
 _COUNT = np.uint64(0xE7037ED1A0B428DB)
+TURNS = 3  # stars around other classes before pairs are formed; changes the work, not the result
 _TWO = np.uint64(0x8EBC6AF09C88C6E3)
 
 
@@ -321,6 +323,17 @@ def _neighbourhoods(docs: DataFrame, classes: DataFrame, join: Join, wanted: set
     return members.join(several.select("key"), "key", "left_semi")
 
 
+def _more_stars(rest: DataFrame, join: Join, turn: int) -> DataFrame:
+    """Each class of an open key with one class of another component, by a new order in every turn."""
+    names = ("class", "component", "n", *PARITY)
+    order = F.xxhash64("class", F.lit(turn))
+    hub = F.min_by(F.struct(*[F.col(c).alias(f"{c}_b") for c in names]), order)
+    hubs = rest.groupBy("key").agg(hub.alias("hub")).select("key", "hub.*")
+    spokes = rest.select("key", *[F.col(c).alias(f"{c}_a") for c in names]).join(hubs, "key")
+    near = spokes.where((F.col("component_a") != F.col("component_b")) & _may_link(join, "_a", "_b"))
+    return near.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
+
+
 def _open_pairs(rest: DataFrame, join: Join) -> DataFrame:
     """Pairs across components that share a key and may link."""
     names = ("class", "component", "n", *PARITY)
@@ -338,8 +351,15 @@ def join_documents(docs: DataFrame, join: Join = Join()) -> DataFrame:  # noqa:
         full.groupBy("class", "class2", "n").agg(F.min("doc_id").alias("node"), *[F.max(p).alias(p) for p in PARITY])
     )
     members = stored(_members(full, join))
+    wide, rows = rows, stored(rows.select("doc_id", "n", "class", "class2"))
+    drop(wide)
     links = _verified(docs, _stars(members), classes, join)
     rest = stored(_rest(members, classes, components(links)))
+    for turn in range(TURNS):
+        if rest.isEmpty():
+            break
+        links = links.unionByName(_verified(docs, _more_stars(rest, join, turn), classes, join))
+        rest = stored(_rest(rest.select("key", "slot", "class"), classes, components(links)))
     dropped, promoted = _exchanges(rest, classes, join)
     if dropped:
         more = stored(_neighbourhoods(docs, classes, join, promoted))
@@ -353,5 +373,5 @@ def join_documents(docs: DataFrame, join: Join = Join()) -> DataFrame:  # noqa:
         "class", "class2", "n", F.coalesce("component", "node").alias("of_class")
     )
     own = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("of_class"))
-    joined = rows.select("doc_id", "n", "class", "class2").join(placed, ["class", "class2", "n"], "left")
+    joined = rows.join(placed, ["class", "class2", "n"], "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
