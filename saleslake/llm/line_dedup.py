@@ -132,7 +132,7 @@ def line_table(docs: DataFrame, ranks, similarity: Similarity) -> DataFrame:
 
 
 def candidates(lines: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
-    """Pairs of classes (a, b) that pass all filters; a is not the larger one.
+    """Pairs of classes (a, b) that pass all filters, a not the larger one, and their shared words ``n``.
 
     Only the first line of each class has postings. Both sides of the join are one shuffle. The
     positional filter implies the shorter prefix of the smaller side.
@@ -162,7 +162,7 @@ def candidates(lines: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame
         & ((s.num + s.den) * rest >= s.num * total)
         & ((s.num + s.den) * apart <= (s.den - s.num) * total)
     )
-    return joined.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
+    return joined.groupBy(F.col("class_a").alias("a"), F.col("class_b").alias("b")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _full_sets(docs: DataFrame, places: DataFrame, similarity: Similarity) -> DataFrame:
@@ -198,6 +198,40 @@ def _full_sets(docs: DataFrame, places: DataFrame, similarity: Similarity) -> Da
     return named.select("class", F.struct("doc_id", "line").alias("place"), "words").dropDuplicates(["class"])
 
 
+def _similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
+    """Classes ``later`` of those pairs (later, earlier) that are similar, from their full sets."""
+    wanted = pairs.selectExpr("later AS class").unionByName(pairs.selectExpr("earlier AS class")).distinct()
+    places = stored(classes.join(wanted, "class", "left_semi").select("class", "place.*"))
+    sets = stored(_full_sets(docs, places, s))
+    one = sets.select(F.col("class").alias("later"), F.col("words").alias("words_a"))
+    two = sets.select(F.col("class").alias("earlier"), F.col("words").alias("words_b"))
+    both = pairs.select("later", "earlier").join(one, "later").join(two, "earlier")
+    common = F.size(F.array_intersect("words_a", "words_b"))
+    links = both.where(s.den * common >= s.num * (F.size("words_a") + F.size("words_b") - common))
+    found = stored(links.select("later").distinct())
+    drop(sets)
+    return found
+
+
+def later_classes(docs: DataFrame, pairs: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
+    """Classes with an earlier similar one.
+
+    One such class is enough. So every class is first compared with the candidate that shares
+    most words of the prefixes, and only those that aren't similar to it with all the others.
+    """
+    place = lambda n: classes.select(F.col("class").alias(n), F.col("place").alias(f"place_{n}"))
+    known = pairs.join(place("a"), "a").join(place("b"), "b")
+    first = F.col("place_a") < F.col("place_b")
+    later, earlier = F.when(first, F.col("b")).otherwise(F.col("a")), F.when(first, F.col("a")).otherwise(F.col("b"))
+    oriented = stored(known.select(later.alias("later"), earlier.alias("earlier"), "n"))
+    best = stored(oriented.groupBy("later").agg(F.max_by("earlier", F.struct("n", "earlier")).alias("earlier")))
+    found = _similar(docs, best, classes, s)
+    rest = stored(oriented.join(found, "later", "left_anti").join(best, ["later", "earlier"], "left_anti"))
+    if not rest.isEmpty():
+        found = found.unionByName(_similar(docs, rest, classes, s))
+    return found.withColumnRenamed("later", "class")
+
+
 def removed_lines(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:  # noqa: B008
     """(doc_id, line) of every line with an earlier similar line; lines count from 0."""
     s, spark = similarity, docs.sparkSession
@@ -209,22 +243,11 @@ def removed_lines(docs: DataFrame, similarity: Similarity = Similarity()) -> Dat
     pairs = stored(candidates(lines, classes, s))
     wide, lines = lines, stored(lines.select("class", "doc_id", "line"))
     drop(wide)
-    wanted = pairs.selectExpr("a AS class").unionByName(pairs.selectExpr("b AS class")).distinct()
-    places = stored(classes.join(wanted, "class", "left_semi").select("class", "place.*"))
-    sets = stored(_full_sets(docs, places, s))
-    left, right = (
-        sets.select(F.col("class").alias(x), F.col("words").alias(f"words_{x}"), F.col("place").alias(f"place_{x}")) for x in "ab"
-    )
-    both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("words_a", "words_b"))
-    links = both.where(s.den * common >= s.num * (F.size("words_a") + F.size("words_b") - common))
-    later = stored(links.select(F.when(F.col("place_a") > F.col("place_b"), F.col("a")).otherwise(F.col("b")).alias("class")).distinct())
-    drop(sets)
+    later = stored(later_classes(docs, pairs, classes, s))
     # A class with an earlier similar one loses all lines, any other class all but its first.
-    several = classes.where("n > 1").select("class", F.col("place").alias("first_place"))
-    open_ = several.unionByName(later.join(classes, "class").where("n = 1").select("class", F.lit(None).cast(several.schema[1].dataType).alias("first_place")))
-    lost = open_.join(later.withColumn("gone", F.lit(True)), "class", "left")
-    judged = lines.select("class", "doc_id", "line").join(lost, "class")
+    gone = later.withColumn("gone", F.lit(True))
+    marked = classes.join(gone, "class", "left").where("n > 1 OR gone").select("class", F.col("place").alias("first_place"), "gone")
+    judged = lines.join(marked, "class")
     return judged.where(F.col("gone") | (place > F.col("first_place"))).select("doc_id", "line")
 
 
