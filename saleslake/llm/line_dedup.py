@@ -11,7 +11,7 @@ Equal sets are one class with one posting per word, however many lines it has. R
 counts of all words in ``SLOTS`` slots by hash, a table of a fixed size; words in one slot are
 ordered by hash, so the order is total and the join exact whatever the collisions.
 
-Lines with fewer than ``min_words`` different words always stay. Null texts stay null, empty ones
+Lines without words always stay; a ``min_words`` above 1 also keeps those of fewer different words. Null texts stay null, empty ones
 empty; rows without doc_id have no place in the order and keep all lines. Rows that repeat a doc_id
 have equal places, so none of them is earlier. Words: A-Z in lower case, runs without white space.
 """
@@ -37,7 +37,7 @@ SLOTS = 1 << 18
 class Similarity:
     num: int = 80
     den: int = 100
-    min_words: int = 5
+    min_words: int = 1
 
     def prefix(self, size: np.ndarray) -> np.ndarray:
         return size - -(-size * self.num // self.den) + 1
@@ -134,12 +134,14 @@ def line_table(docs: DataFrame, ranks, similarity: Similarity) -> DataFrame:
 def candidates(lines: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
     """Pairs of classes (a, b) that pass all filters, a not the larger one, and their shared words ``n``.
 
-    Only the first line of each class has postings. Both sides of the join are one shuffle. The
-    positional filter implies the shorter prefix of the smaller side.
+    Only the first line of each class has postings, and only where its size lets a different set be
+    similar: of n words, at best n + 1 with all n in common. Both sides of the join are one shuffle.
+    The positional filter implies the shorter prefix of the smaller side.
     """
     first = classes.select("class", "place.*")
     words = (
-        lines.join(first, ["class", "doc_id", "line"])
+        lines.where(s.den * F.col("size") >= s.num * (F.col("size") + 1))
+        .join(first, ["class", "doc_id", "line"])
         .select("class", "size", "parity", F.posexplode("prefix").alias("at", "word"))
         .select(
             F.col("word").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("word"),  # half of the hash: words that collide only make more candidates

@@ -67,3 +67,22 @@ def test_odd_rows(spark):
     assert d.dedup_lines(spark.createDataFrame([], SCHEMA)).count() == 0
     with pytest.raises(ValueError, match="n_lines"):
         d.dedup_lines(spark.createDataFrame(rows, SCHEMA.replace("class", "n_lines")))
+
+
+def test_short_lines_take_part(spark):
+    """Brute force over all lines with words, however few."""
+    chosen = random.Random(11)
+    lines = ["yes", "YES  yes", "no", "a b", "b a a", "a b c", "a b c d", "a b c d e", "a b d e", "ha " * 300, "漢字" * 200, "ha hm " * 90, "", " \t"]
+    rows = [(i, "\n".join(chosen.choice(lines) for _ in range(chosen.randint(1, 4)))) for i in range(40)]
+    seen, want = [], []
+    for doc_id, text in rows:
+        kept = []
+        for line in text.split("\n"):
+            w = words(line)
+            if not w or not any(100 * len(w & v) >= 80 * len(w | v) for v in seen):
+                kept.append(line)
+            seen.append(w)
+        want.append((doc_id, "\n".join(kept), len(kept)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((r.doc_id, r.text, r.n_lines - r.n_removed) for r in d.dedup_lines(docs).collect())
+    assert got == want and sum(len(t.split("\n")) for _, t in rows) > sum(n for *_, n in want)
