@@ -2,8 +2,9 @@
 
 Every line of a file, and its text as a whole, is compared with every template; the best similarity
 of at least ``threshold`` is the file's own licence (ties: the first template by name). Document
-frequencies are counted over all lines of all files; words that no template has weigh like a word
-that occurs once. A file without a licence of its own takes that of the nearest directory on its
+frequencies of all words are counted over all lines of all files. No weight is below 1, so the words
+of a template in a line or text bound its cosine from above; those that may reach the threshold
+are joined with the weights of their other words. A file without a licence of its own takes that of the nearest directory on its
 path that has one: of the licence files directly in a directory, the most similar counts (ties:
 the smallest path).
 
@@ -17,10 +18,14 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from saleslake.llm import bitmaps
+from saleslake.llm.tables import stored
+
 THRESHOLD = 0.6
 LICENCE_NAMES = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)[^/]*$"
 
@@ -40,6 +45,8 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+COUNTED = 200_000  # words that a task counts before it hands them on; bounds its memory
+
 _WORDS = re.compile(r"[^\W_]+(?:\.\d+)*")
 Vector = dict[str, float]
 
@@ -52,8 +59,8 @@ def vocabulary(templates: dict[str, str]) -> frozenset[str]:
     return frozenset(w for text in templates.values() for w in terms(text))
 
 
-def document_frequencies(files: DataFrame, words: frozenset[str], text: str = "text") -> tuple[int, dict[str, int]]:
-    """Number of lines, and for each of the given words the lines that hold it."""
+def document_frequencies(files: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n): the lines that hold each word; the row without a word has the number of lines."""
     schema = T.StructType().add("word", T.StringType()).add("n", T.LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,17 +69,23 @@ def document_frequencies(files: DataFrame, words: frozenset[str], text: str = "t
             for value in batch.column(text):
                 for line in (value.as_py() or "").lower().split("\n"):
                     lines += 1
-                    found.update(words.intersection(_WORDS.findall(line)))
+                    found.update(set(_WORDS.findall(line)))
+                if len(found) >= COUNTED:
+                    yield pa.RecordBatch.from_pydict({"word": [*found], "n": [*found.values()]}, schema=_arrow(schema))
+                    found.clear()
         yield pa.RecordBatch.from_pydict({"word": [None, *found], "n": [lines, *found.values()]}, schema=_arrow(schema))
 
-    counted = files.select(text).mapInArrow(run, schema).groupBy("word").agg(F.sum("n").alias("n"))
-    counts = {r.word: r.n for r in counted.collect()}  # a row per template word
-    return counts.pop(None, 0), counts
+    return files.select(text).mapInArrow(run, schema).groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _arrow_type(kind: T.DataType) -> pa.DataType:
+    if isinstance(kind, T.ArrayType):
+        return pa.list_(_arrow_type(kind.elementType))
+    return {T.LongType(): pa.int64(), T.StringType(): pa.string(), T.DoubleType(): pa.float64()}[kind]
 
 
 def _arrow(schema: T.StructType) -> pa.Schema:
-    kinds = {T.LongType(): pa.int64(), T.StringType(): pa.string(), T.DoubleType(): pa.float64()}
-    return pa.schema([(f.name, kinds[f.dataType]) for f in schema])
+    return pa.schema([(f.name, _arrow_type(f.dataType)) for f in schema])
 
 
 class Matcher:
@@ -90,47 +103,115 @@ class Matcher:
         norm = math.sqrt(sum(x * x for x in vector.values()))
         return {w: x / norm for w, x in vector.items()}
 
-    def best(self, text: str) -> tuple[str | None, float]:
+    def parts(self, text: str) -> tuple[str, float, float, Vector] | None:
+        """Best template, its scalar product, the square of the known words' norm, and the other words; none if no word is known."""
         words = _WORDS.findall(text.lower())
         if not self.known.intersection(words):
-            return None, 0.0
-        vector = self._unit(Counter(words))
+            return None
+        counts = Counter(words)
+        vector = {w: n * self.weight[w] for w, n in counts.items() if w in self.known}
         found = (None, 0.0)
         for name, template in self.vectors.items():
             value = sum(x * vector[w] for w, x in template.items() if w in vector)
-            if value > found[1] + 1e-12:
+            if value > found[1] * (1 + 1e-12):
                 found = (name, value)
-        return found
+        return *found, sum(x * x for x in vector.values()), {w: n for w, n in counts.items() if w not in self.known}
+
+    def best(self, text: str) -> tuple[str | None, float]:
+        """Best template and its cosine if no other word had more lines than one."""
+        found = self.parts(text)
+        if found is None:
+            return None, 0.0
+        name, product, square, others = found
+        return name, product / math.sqrt(square + sum((n * self.other) ** 2 for n in others.values()))
 
-    def own(self, text: str | None, threshold: float) -> tuple[str | None, float]:
+    def units(self, text: str | None, threshold: float) -> Iterator[tuple[int, str, float, float, Vector]]:
+        """Number and parts of the lines, and of the text as a whole, that may reach the threshold."""
         lines = (text or "").split("\n")
-        found = (None, 0.0)
-        for part in lines if len(lines) == 1 else [*lines, text]:
-            name, value = self.best(part)
-            if value > found[1] + 1e-12:
-                found = (name, value)
-        return found if found[1] >= threshold else (None, 0.0)
+        for i, part in enumerate(lines if len(lines) == 1 else [*lines, text]):
+            found = self.parts(part)
+            if found and found[1] >= (threshold - 1e-9) * math.sqrt(found[2] + sum(n * n for n in found[3].values())):
+                yield i, *found
+
+
+UNITS = (
+    T.StructType()
+    .add("k1", T.LongType())
+    .add("k2", T.LongType())
+    .add("unit", T.LongType())
+    .add("name", T.StringType())
+    .add("product", T.DoubleType())
+    .add("square", T.DoubleType())
+    .add("words", T.ArrayType(T.StringType()))
+    .add("times", T.ArrayType(T.LongType()))
+)
+
+
+def candidates(keyed: DataFrame, matcher: Broadcast, threshold: float) -> DataFrame:
+    """Lines and whole texts of (k1, k2, text) that may reach the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k1, k2 = batch.column("k1").to_pylist(), batch.column("k2").to_pylist()
+            rows = [
+                (k1[i], k2[i], *unit[:-1], [*unit[-1]], [*unit[-1].values()])
+                for i, value in enumerate(batch.column("text"))
+                for unit in matcher.value.units(value.as_py(), threshold)
+            ]
+            columns = zip(*rows, strict=True) if rows else [[]] * len(UNITS)
+            kinds = [_arrow_type(f.dataType) for f in UNITS]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=UNITS.names)
+
+    return keyed.mapInArrow(run, UNITS)
 
 
 def own_licences(
     files: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """Add ``own_licence`` and ``similarity``."""
+    """Add ``own_licence`` and ``similarity``.
+
+    Equal texts are one until the last join. Only texts that may have a licence are joined.
+    """
     for name in ("own_licence", "similarity"):
         if name in files.columns:
             raise ValueError(f"column {name} exists already")
-    lines, counts = document_frequencies(files, vocabulary(templates), text)
-    shared = files.sparkSession.sparkContext.broadcast(Matcher(templates, lines, counts))
-    schema = T.StructType([*files.schema.fields]).add("own_licence", T.StringType()).add("similarity", T.DoubleType())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = shared.value
-        for batch in batches:
-            found = [matcher.own(value.as_py(), threshold) for value in batch.column(text)]
-            added = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=schema.names)
+    spark = files.sparkSession
+    frequencies = stored(document_frequencies(files, text))
+    known = F.col("word").isNull() | F.col("word").isin(*vocabulary(templates))
+    counts = {r.word: r.n for r in frequencies.where(known).collect()}  # a row per template word
+    lines = counts.pop(None, 0)
+    matcher = spark.sparkContext.broadcast(Matcher(templates, lines, counts))
+
+    value = F.col(f"`{text}`")
+    keys = [F.xxhash64(value).alias("k1"), F.xxhash64(F.lit(1), value).alias("k2")]
+    units = stored(candidates(files.select(value.alias("text"), *keys), matcher, threshold)).dropDuplicates(["k1", "k2", "unit"])
+    each = units.select("k1", "k2", "unit", F.explode(F.arrays_zip("words", "times")).alias("x"))
+    each = each.select("k1", "k2", "unit", F.col("x.words").alias("word"), F.col("x.times").alias("times"))
+    weight = F.log(F.lit(1.0 + lines) / (1 + F.col("n"))) + 1
+    others = (
+        each.join(frequencies.where("word IS NOT NULL"), "word")
+        .groupBy("k1", "k2", "unit")
+        .agg(F.sum((F.col("times") * weight) ** 2).alias("others"))
+    )
+    cosine = F.col("product") / F.sqrt(F.col("square") + F.coalesce("others", F.lit(0.0)))
+    valued = units.join(others, ["k1", "k2", "unit"], "left").select("k1", "k2", "unit", "name", cosine.alias("cosine"))
+    order = F.struct(F.round("cosine", 12), -F.col("unit"))  # the last bits depend on the order of the sum
+    found = stored(
+        valued.where(F.col("cosine") >= threshold)
+        .groupBy(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
+        .agg(F.max_by(F.struct("name", "cosine"), order).alias("_best"))
+    )
 
-    return files.mapInArrow(run, schema)
+    row = F.struct(*[F.col(f"`{c}`") for c in files.columns]).alias("own")
+    flagged = bitmaps.flagged(files.select(row, *keys), "k1", found, "_k1")
+    same = (F.col("_row.k1") == F.col("_k1")) & (F.col("_row.k2") == F.col("_k2"))
+    touched = flagged.where("_maybe").join(found, same, "left").select("_row", "_best")
+    whole = flagged.where("NOT _maybe").select("_row", F.lit(None).cast(found.schema["_best"].dataType).alias("_best"))
+    return touched.unionByName(whole).select(
+        *[F.col(f"_row.own.`{c}`") for c in files.columns],
+        F.col("_best.name").alias("own_licence"),
+        F.coalesce("_best.cosine", F.lit(0.0)).alias("similarity"),
+    )
 
 
 def inherit(files: DataFrame, any_file: bool = False) -> DataFrame:

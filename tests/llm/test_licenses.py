@@ -53,3 +53,34 @@ def test_query_finds_every_licence_line(spark):
     assert set(rows) == set(texts)
     for i, text in texts.items():
         assert (rows[i].own_licence is not None) == any("icensed under" in x or "under the MIT" in x for x in text.split("\n"))
+
+
+def test_other_words_have_their_true_frequencies(spark):
+    """Words beside a notice that many lines have must not dilute it; all cosines against a brute force."""
+    notice = f"Copyright 2020 Acme Widget Holdings Inc. Springfield Illinois. {MIT}"
+    common = ["copyright 2020 acme", "widget holdings inc springfield illinois", "the public work is licensed", "plain words"]
+    texts = [notice, notice, "some words\nreleased under the mit license by acme acme", None, *["\n".join(common)] * 400]
+    lines = [set(lic.terms(x)) for t in texts for x in (t or "").split("\n")]
+    counts = Counter(w for x in lines for w in x)
+    weight = lambda w: math.log((1 + len(lines)) / (1 + counts[w])) + 1
+    vector = lambda t: {w: n * weight(w) for w, n in lic.terms(t).items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+
+    def brute(text):
+        found = (None, 0.0)
+        for part in [*(text or "").split("\n"), text or ""]:
+            v = vector(part)
+            for name, template in sorted(lic.TEMPLATES.items()):
+                t = vector(template)
+                value = sum(x * t.get(w, 0) for w, x in v.items()) / norm(v) / norm(t) if v else 0
+                if value > found[1] + 1e-12:
+                    found = (name, value)
+        return found if found[1] >= lic.THRESHOLD else (None, 0.0)
+
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k1 int, text string").repartition(4)
+    got = {r.k1: (r.own_licence, r.similarity) for r in lic.own_licences(docs).collect()}
+    want = {i: brute(t) for i, t in enumerate(texts)}
+    assert {i: name for i, (name, _) in got.items()} == {i: name for i, (name, _) in want.items()}
+    assert all(got[i][1] == pytest.approx(want[i][1]) for i in want)
+    once = {w: n for w, n in counts.items() if w in lic.vocabulary(lic.TEMPLATES)}
+    assert got[0][0] == "MIT" and lic.Matcher(lic.TEMPLATES, len(lines), once).best(notice)[1] < lic.THRESHOLD
