@@ -86,8 +86,57 @@ SELECT page_id, size::BIGINT AS payload_bytes, digest AS payload_digest,
 FROM f
 """
 
+# The checksum is a fold over the bytes of a word, with its table of 256 entries made by the rule.
+OP13 = r"""
+WITH crc_table AS (
+  SELECT list(c ORDER BY b) AS entries
+  FROM (SELECT b, list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) AS c
+        FROM range(256) AS t(b))
+), doc_words AS (
+  SELECT doc_id, w.word AS word FROM documents,
+    unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w(word)
+), item_words AS (
+  SELECT w.word AS word FROM benchmark,
+    unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w(word)
+), spelled AS (
+  SELECT word, hex(encode(word)) AS digits FROM (SELECT word FROM doc_words UNION SELECT word FROM item_words)
+), buckets AS (
+  SELECT word, xor(list_reduce(
+      [('0x' || substr(digits, 2 * i + 1, 2))::BIGINT FOR i IN range(length(digits) // 2)],
+      lambda c, b: xor(entries[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT), 4294967295) % 10000 AS bucket
+  FROM spelled, crc_table
+), corpus AS (
+  SELECT bucket, count(*) AS s FROM doc_words JOIN buckets USING (word) GROUP BY bucket
+), target AS (
+  SELECT bucket, count(*) AS t FROM item_words JOIN buckets USING (word) GROUP BY bucket
+), totals AS (
+  SELECT (SELECT count(*) FROM doc_words) AS ss, (SELECT count(*) FROM item_words) AS tt
+), gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (ss::DOUBLE + 10000)
+                                 / ((s::DOUBLE + 1) * (tt::DOUBLE + 10000))))::BIGINT AS gain
+  FROM corpus LEFT JOIN target USING (bucket), totals
+), weights AS (
+  SELECT doc_id, count(*) AS n, sum(gain) AS total
+  FROM doc_words JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY doc_id
+), scored AS (
+  SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_features,
+    coalesce(floor(total::DOUBLE / n), 0)::BIGINT AS weight,
+    coalesce(floor(total::DOUBLE / n), 0)::BIGINT + floor(-1000 * ln(-ln(
+      (('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM documents AS d LEFT JOIN weights AS w USING (doc_id)
+), ordered AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS size
+  FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * size // 100 THEN place END AS rank
+FROM scored LEFT JOIN ordered USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op3_decontamination": OP3,
     "op5_quality_rules": OP5,
     "op8_warc": OP8,
+    "op13_importance_resampling": OP13,
 }

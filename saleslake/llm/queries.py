@@ -13,6 +13,7 @@ from saleslake.llm import (
     line_dedup,
     quality_crf,
     quality_rules,
+    resampling,
     substring_dedup,
     token_counts,
     warc,
@@ -127,6 +128,13 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank in the draw of every document, with the benchmark as the target."""
+    documents, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ranked = resampling.draw(resampling.score(documents, target))
+    return ranked.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe_encode_decode": op1_bpe_encode_decode,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -138,4 +146,5 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
+    "op13_importance_resampling": op13_importance_resampling,
 }
