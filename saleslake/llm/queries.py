@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslake.llm import (
@@ -14,6 +14,7 @@ from saleslake.llm import (
     quality_crf,
     quality_rules,
     resampling,
+    secret_scan,
     substring_dedup,
     token_counts,
     warc,
@@ -128,6 +129,24 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def _listed(spans: Column) -> Column:
+    """kind:start:end of all spans, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and a digest of the pattern matches, and all spans."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.find_secrets(documents).select("doc_id", "secrets")
+    base = secret_scan.KINDS[:3]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    listed = _listed(F.filter("secrets", lambda s: s["kind"].isin(base)))
+    return found.select("doc_id", *map(count, base), F.sha2(listed, 256).alias("base_sha256"), _listed(F.col("secrets")).alias("spans"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight, score and rank in the draw of every document, with the benchmark as the target."""
     documents, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -146,5 +165,6 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
+    "op12_secret_scan": op12_secret_scan,
     "op13_importance_resampling": op13_importance_resampling,
 }

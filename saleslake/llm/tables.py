@@ -31,3 +31,15 @@ def drop(df: DataFrame) -> None:
     for file in df.inputFiles()[:1]:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent()
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, or where the table has such a column the first free name of wanted_1, wanted_2…
+
+    Letter case doesn't make two names different, as in Spark.
+    """
+    taken, name, n = {c.lower() for c in df.columns}, wanted, 0
+    while name.lower() in taken:
+        n += 1
+        name = f"{wanted}_{n}"
+    return name
