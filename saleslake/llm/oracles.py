@@ -86,6 +86,29 @@ SELECT page_id, size::BIGINT AS payload_bytes, digest AS payload_digest,
 FROM f
 """
 
+OP11 = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    coalesce(list_sum([a.v[i] * b.v[i] FOR i IN range(1, least(len(a.v), len(b.v)) + 1)]), 0)::BIGINT AS score
+  FROM rows AS a JOIN rows AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+), negatives AS (
+  SELECT p.*, other_id AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank
+  FROM positives AS p JOIN scores AS s USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 3
+"""
+
 # The checksum is a fold over the bytes of a word, with its table of 256 entries made by the rule.
 OP13 = r"""
 WITH crc_table AS (
@@ -138,5 +161,6 @@ ORACLES: dict[str, str] = {
     "op3_decontamination": OP3,
     "op5_quality_rules": OP5,
     "op8_warc": OP8,
+    "op11_hard_negatives": OP11,
     "op13_importance_resampling": OP13,
 }

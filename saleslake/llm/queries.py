@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from saleslake.llm import (
     bpe_automaton,
     decontamination,
+    hard_negatives,
     jaccard_join,
     licenses,
     line_dedup,
@@ -129,6 +130,14 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector; every 7th has the label after its own."""
+    i, label = F.col("vec_id"), F.col("label")
+    shifted = F.when(i % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", shifted.alias("label"))
+    return hard_negatives.mine(rows, F.col("id") % 50 == 0)
+
+
 def _listed(spans: Column) -> Column:
     """kind:start:end of all spans, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -165,6 +174,7 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_secret_scan": op12_secret_scan,
     "op13_importance_resampling": op13_importance_resampling,
 }
