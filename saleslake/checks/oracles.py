@@ -54,17 +54,18 @@ rate_months AS (
   FROM orders
 ),
 rate_rows AS (
-  SELECT year, month, n * 2 + again AS ord,
+  SELECT year, CASE WHEN n = 25 AND again = 1 THEN CAST(13 AS INTEGER) ELSE month END AS month,
+    n * 2 + again AS ord,
     CASE WHEN n = 30 OR (n = 40 AND again = 0) THEN NULL
          ELSE CAST(800.37 AS DOUBLE) + 5 * n + 50 * again END AS exchange_rate_ars_usd
   FROM rate_months CROSS JOIN (VALUES (0), (1)) AS copies(again)
-  WHERE n % 17 <> 0 AND (again = 0 OR n IN (20, 40))
+  WHERE n % 17 <> 0 AND (again = 0 OR n IN (20, 25, 40))
 ),
 rates AS (
   SELECT year, month,
     first(exchange_rate_ars_usd ORDER BY ord)
       FILTER (WHERE exchange_rate_ars_usd IS NOT NULL) AS exchange_rate_ars_usd
-  FROM rate_rows GROUP BY year, month
+  FROM rate_rows WHERE month BETWEEN 1 AND 12 GROUP BY year, month
 ),
 calendar AS (
   SELECT CAST((m - 1) // 12 AS INTEGER) AS year, CAST((m - 1) % 12 + 1 AS INTEGER) AS month
@@ -98,6 +99,9 @@ dirty AS (
     CASE WHEN NUMERO_TICKET % 79 = 0 THEN '12d' ELSE CAST(COSTO_ARTICULO AS VARCHAR) END
       AS COSTO_ARTICULO,
     CASE WHEN NUMERO_TICKET % 73 = 0 THEN 'no date'
+         WHEN NUMERO_TICKET % 67 = 0 THEN strftime(FECHA, '%Y-%m-%d')
+         WHEN NUMERO_TICKET % 61 = 0 THEN strftime(FECHA, '%Y-%m-%dT%H:%M:%S.000')
+         WHEN NUMERO_TICKET % 59 = 0 THEN strftime(FECHA, '%Y%m%d')
          ELSE strftime(FECHA, '%Y-%m-%d %H:%M:%S') END AS FECHA,
     CASE WHEN NUMERO_TICKET % 71 = 0 THEN chr(9) || ' ' || DESC_ARTICULO || ' ' || chr(9)
          WHEN NUMERO_TICKET % 47 = 0 THEN NULL ELSE DESC_ARTICULO END AS DESC_ARTICULO,
@@ -131,7 +135,10 @@ def _to_double(text: str) -> str:
     )
 
 
-_TS = "TRY_CAST(CASE WHEN regexp_matches(FECHA, '^\\d{4}-\\d\\d-\\d\\d') THEN FECHA END AS TIMESTAMP)"
+_TS = (
+    "CASE WHEN regexp_matches(FECHA, '^\\d{4}-\\d\\d-\\d\\d') THEN TRY_CAST(FECHA AS TIMESTAMP) "
+    "WHEN regexp_matches(FECHA, '^\\d{8}$') THEN try_strptime(FECHA, '%Y%m%d') END"
+)
 
 
 def _in_spanish(names: list[str], position: str) -> str:
@@ -153,8 +160,12 @@ typed AS (
 _TYPED_CLEAN = "typed AS (SELECT * FROM sales)"
 
 
-def _silver(fill: bool = False) -> str:
-    """CTEs from ``typed`` lines to ``silver``."""
+def _silver(fill: bool = False, odd_days: bool = False, order: str = POSITION) -> str:
+    """CTEs from ``typed`` lines to ``silver``; with odd days some lines have no known weekday or day."""
+    day, weekday = "CAST(day(FECHA) AS BIGINT)", _WEEKDAY
+    if odd_days:
+        day = f"CASE WHEN NUMERO_TICKET % 43 <> 0 THEN {day} END"
+        weekday = f"CASE WHEN NUMERO_TICKET % 53 = 0 THEN 'Feriado' ELSE {weekday} END"
     rates = "filled" if fill else "rates"
     rate = "r.exchange_rate_ars_usd"
     if fill:
@@ -164,7 +175,7 @@ def _silver(fill: bool = False) -> str:
 first_lines AS (
   SELECT * FROM typed
   QUALIFY row_number() OVER (
-    PARTITION BY {UNIT}, FECHA, NUMERO_TICKET, ID_ARTICULO ORDER BY {POSITION}) = 1
+    PARTITION BY {UNIT}, FECHA, NUMERO_TICKET, ID_ARTICULO ORDER BY {order}) = 1
 ),
 sold AS (
   SELECT *, CANTIDAD_VENDIDA * VALOR_ARTICULO AS VENTA_ARS,
@@ -181,8 +192,8 @@ silver AS (
     VENTA_ARS / TIPO_CAMBIO AS VENTA_USD,
     COSTO_ARS / TIPO_CAMBIO AS COSTO_USD,
     MARGEN_ARS / TIPO_CAMBIO AS MARGEN_USD,
-    CAST(day(FECHA) AS BIGINT) AS DIA_MES,
-    {_WEEKDAY} AS DIA_SEMANA, {UNIT}
+    {day} AS DIA_MES,
+    {weekday} AS DIA_SEMANA, {UNIT}
   FROM rated
 )"""
 
@@ -209,7 +220,7 @@ best_product AS (
 ),
 day_sales AS (
   SELECT {UNIT}, DIA_MES, coalesce(sum(VENTA_USD), 0) AS VENTA_USD
-  FROM silver GROUP BY {UNIT}, DIA_MES
+  FROM silver WHERE DIA_MES IS NOT NULL GROUP BY {UNIT}, DIA_MES
 ),
 weekday_sales AS (
   SELECT {UNIT}, DIA_SEMANA, coalesce(sum(VENTA_USD), 0) AS VENTA_USD
@@ -231,12 +242,17 @@ def _trend(bucket: str, prefix: str, scope: str, threshold: float = 0.7) -> str:
     keys = "SUCURSAL" if scope == "chain" else UNIT
     pick = ", ".join(f"own.{k.strip()}" for k in keys.split(","))
     whole = bucket if scope == "chain" else f"{UNIT}, {bucket}"
+    names = ", ".join(f"'{d}'" for d in WEEKDAYS)
+    known = f"{bucket} IN ({names})" if bucket == "DIA_SEMANA" else "true"
     name = prefix.lower()
     return f"""
 own_{name} AS (
   SELECT {keys}, {bucket}, avg(VENTA_USD) AS mean FROM silver GROUP BY {keys}, {bucket}
 ),
-whole_{name} AS (SELECT {whole}, avg(VENTA_USD) AS mean FROM silver GROUP BY {whole}),
+whole_{name} AS (
+  SELECT {whole}, CASE WHEN {known} THEN avg(VENTA_USD) END AS mean FROM silver
+  WHERE {bucket} IS NOT NULL GROUP BY {whole}
+),
 corr_{name} AS (
   SELECT {pick}, corr(own.mean, whole.mean) AS r
   FROM own_{name} own JOIN whole_{name} whole USING ({whole})
@@ -265,7 +281,13 @@ flags AS (
     )
 
 
-def _raw() -> str:
+_NUMBERED = (
+    "row_number() OVER (PARTITION BY SUCURSAL, YEAR "
+    f"ORDER BY TICKET, {POSITION}, ID_ARTICULO) + 1"
+)
+
+
+def _raw(row_no: str = "CAST(_pos_line AS BIGINT) + 1") -> str:
     required = ", ".join(f"'{c}'" for c in sorted(RAW_REQUIRED))
     without_cost = ", ".join(f"'{c}'" for c in sorted(RAW_REQUIRED) if c != "COSTO_ARTICULO")
     return f"""
@@ -273,12 +295,12 @@ branches AS (
   SELECT *, CAST(split_part(SUCURSAL, '_', 2) AS INTEGER) AS branch FROM dirty
 ),
 raw AS (
-  SELECT *,
+  SELECT * REPLACE (CASE WHEN branch = 4 AND YEAR = 1996 THEN 'sin fecha' ELSE FECHA END AS FECHA),
     CASE WHEN branch = 7 THEN 'raw/ventas/Ventas.xlsx'
          WHEN branch % 2 = 1 THEN 'raw/ventas/VENTAS - ' || SUCURSAL || '.XLSX'
          ELSE 'raw/ventas/Ventas_' || SUCURSAL || '.xlsx' END AS path,
     CASE WHEN branch <> 9 THEN CAST(YEAR AS VARCHAR) END AS sheet,
-    CASE WHEN branch <> 9 THEN CAST(_pos_line AS BIGINT) + 1 END AS row_no,
+    CASE WHEN branch <> 9 THEN {row_no} END AS row_no,
     CASE WHEN branch = 9 THEN NULL
          WHEN branch % 11 = 3 THEN [{without_cost}]
          WHEN branch % 5 = 1 THEN [{required}, 'OBS']
@@ -290,8 +312,10 @@ files AS (
   SELECT *,
     replace(regexp_replace(regexp_replace(regexp_extract(path, '([^/]*)$', 1),
       '\\.[^.]*$', ''), 'ventas[_\\s-]*', '', 'gi'), ' ', '') AS file_branch,
-    array_to_string([c FOR c IN [{required}] IF NOT list_contains(names, c)], ',') AS missing,
-    array_to_string([c FOR c IN names IF NOT list_contains([{required}], c)], ',') AS unexpected
+    CASE WHEN names IS NOT NULL THEN
+      array_to_string([c FOR c IN [{required}] IF NOT list_contains(names, c)], ',') END AS missing,
+    CASE WHEN names IS NOT NULL THEN
+      array_to_string([c FOR c IN names IF NOT list_contains([{required}], c)], ',') END AS unexpected
   FROM raw
 )"""
 
@@ -311,6 +335,31 @@ bronze AS (
     AND {_TS} IS NOT NULL
 )"""
 
+_TYPED_FILES = f"""
+typed AS (
+  SELECT {_TS} AS FECHA,
+    {", ".join(f"{_to_int(c)} AS {c}" for c in INTEGER_COLUMNS)},
+    {", ".join(f"{_to_double(c)} AS {c}" for c in DOUBLE_COLUMNS)},
+    {", ".join(f"coalesce({_trim(c)}, 'nan') AS {c}" for c in _OTHERS)},
+    file_branch AS SUCURSAL, CAST(year({_TS}) AS INTEGER) AS YEAR, CAST(month({_TS}) AS INTEGER) AS MONTH,
+    path, sheet, row_no
+  FROM files
+  WHERE error IS NULL AND missing = '' AND file_branch <> '' AND {_TS} IS NOT NULL
+)"""
+
+# Bronze by several writers; the broken branch-month is still in it.
+_MIXED = f"""
+mixed AS (
+  SELECT * REPLACE (
+      CASE WHEN k % 5 = 3 THEN trunc(VALOR_ARTICULO) ELSE VALOR_ARTICULO END AS VALOR_ARTICULO,
+      CASE WHEN k % 5 = 2 THEN CAST({_to_int("NUMERO_TICKET")} AS VARCHAR) ELSE NUMERO_TICKET END AS NUMERO_TICKET,
+      CASE WHEN k % 5 = 2 THEN CAST({_to_int("CANTIDAD_VENDIDA")} AS VARCHAR) ELSE CANTIDAD_VENDIDA END AS CANTIDAD_VENDIDA,
+      CASE WHEN k % 5 = 3 THEN 'obs ' || FAMILIA ELSE OBS END AS OBS),
+    CASE WHEN k % 5 = 2 THEN 'nota ' || ID_ARTICULO END AS NOTA,
+    SUCURSAL = 'NATION_5' AND YEAR = 1997 AND MONTH = 3 AS damaged
+  FROM (SELECT *, CAST(split_part(SUCURSAL, '_', 2) AS INTEGER) AS k FROM bronze)
+)"""
+
 _ROUND = {
     **{f"{m}_ARS": 5 for m in ("VENTA", "COSTO", "MARGEN")},
     **{f"{m}_USD": 4 for m in ("VENTA", "COSTO", "MARGEN")},
@@ -330,19 +379,30 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
 
-_CLEAN = (_SALES, _RATES, _TYPED_CLEAN, _silver())
+_CLEAN = (_SALES, _RATES, _TYPED_CLEAN, _silver(odd_days=True))
 _PRODUCT_COLUMNS = (
     f"{UNIT}, ID_ARTICULO, DESC_ARTICULO, CANTIDAD_VENDIDA, VENTA_ARS, COSTO_ARS, MARGEN_ARS, "
     "VENTA_USD, COSTO_USD, MARGEN_USD, MARGEN_PORC_ARS, MARGEN_PORC_USD"
 )
 _SILVER_COLUMNS = ", ".join(SILVER.fieldNames()) + f", {UNIT}"
+_TABLE_COLUMNS = (
+    ", ".join(SILVER.fieldNames()) + ", SUCURSAL AS sucursal, YEAR AS year, MONTH AS month"
+)
+_REWRITTEN = "SUCURSAL = 'NATION_2' AND YEAR = 1996 AND MONTH = 5"
+_TYPED_MIXED = f"""
+typed AS (
+  SELECT FECHA, {", ".join(f"{_to_int(c)} AS {c}" for c in INTEGER_COLUMNS)},
+    {", ".join(DOUBLE_COLUMNS)}, {", ".join(_OTHERS)}, {UNIT}, _src_file, _src_row
+  FROM mixed WHERE NOT damaged
+)"""
 _LINE_KEYS = f"NUMERO_TICKET, ID_ARTICULO, {POSITION}"
 
 
 def _profile(keys: str, bucket: str) -> str:
     by = f"{keys}, {bucket}" if keys else bucket
     return _with(*_CLEAN) + (
-        f"SELECT {by}, round(avg(VENTA_USD), 4) AS VENTA_USD FROM silver GROUP BY {by}"
+        f"SELECT {by}, round(avg(VENTA_USD), 4) AS VENTA_USD FROM silver "
+        f"WHERE {bucket} IS NOT NULL GROUP BY {by}"
     )
 
 
@@ -383,14 +443,14 @@ def _silver_of_dirty(fill: bool = False) -> str:
     )
 
 
-def _gold(scope: str) -> str:
+def _gold(scope: str, lines: tuple[str, ...] = (_SALES, _DIRTY, _RATES, _TYPED_DIRTY, _silver())) -> str:
     keys = "SUCURSAL" if scope == "chain" else UNIT
     columns = (
         f"{_PRODUCT_COLUMNS}, PRODUCTO_TOP_MARGEN, DIA_MES_TOP_VENTAS, DIA_SEMANA_TOP_VENTAS, "
         "CORRELACION_SEMANAL, SIGUE_TENDENCIA_SEMANAL, CORRELACION_MENSUAL, SIGUE_TENDENCIA_MENSUAL"
     )
     return (
-        _with(_SALES, _DIRTY, _RATES, _TYPED_DIRTY, _silver(), _PRODUCTS, _both_trends(scope))
+        _with(*lines, _PRODUCTS, _both_trends(scope))
         + f"""
 SELECT {_rounded(columns)},
   CASE WHEN MARGEN_PORC_USD < 0.20 THEN 'no alcanzó' WHEN MARGEN_PORC_USD = 0.20 THEN 'igualó'
@@ -419,35 +479,47 @@ def _unit_counts(columns: str, ctes: tuple[str, ...], source: str) -> str:
 ORACLES: dict[str, str] = {
     "scan_bronze": _with(_SALES, _DIRTY, _raw(), _BRONZE) + "SELECT * FROM bronze",
     "scan_silver": _with(*_CLEAN) + f"SELECT {_SILVER_COLUMNS} FROM silver",
+    "scan_mixed": _with(_SALES, _DIRTY, _raw(_NUMBERED), _BRONZE, _MIXED)
+    + "SELECT * EXCLUDE (k, damaged) FROM mixed WHERE NOT damaged",
+    "list_workbooks": "SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, "
+    + "['xlsx', 'XLSX', 'Xlsx'][s_suppkey % 4 + 1] AS suffix, true AS has_content "
+    + "FROM supplier WHERE s_suppkey % 4 < 3",
+    "partition_rewrite": _with(*_CLEAN)
+    + f"SELECT {_SILVER_COLUMNS} FROM (SELECT * REPLACE (CASE WHEN {_REWRITTEN} "
+    + "THEN CANTIDAD_VENDIDA + 1000 ELSE CANTIDAD_VENDIDA END AS CANTIDAD_VENDIDA) "
+    + f"FROM silver WHERE NOT ({_REWRITTEN}) OR NUMERO_TICKET % 2 = 0)",
+    "table_scan": _with(*_CLEAN)
+    + f"SELECT {_TABLE_COLUMNS}, CAST(0 AS BIGINT) AS rows_before FROM silver",
+    "table_redefine": _with(*_CLEAN)
+    + f"SELECT {_TABLE_COLUMNS}, CAST(NULL AS VARCHAR) AS OBSERVACION, "
+    + "CAST(0 AS BIGINT) AS files_changed FROM silver",
+    "rates_table": _with(_RATES) + "SELECT year, month, exchange_rate_ars_usd FROM rate_rows",
     "rates_load": _with(_RATES) + "SELECT year, month, exchange_rate_ars_usd FROM rate_rows",
+    "rates_first": _with(_RATES) + "SELECT year, month, exchange_rate_ars_usd FROM rates",
     "partition_from_path": _unit_counts(UNIT, _CLEAN, "silver"),
     "partition_prune": _with(*_CLEAN)
     + f"SELECT {_SILVER_COLUMNS} FROM silver WHERE YEAR = 1997 AND MONTH <= 3 "
     + "AND SUCURSAL IN ('NATION_1', 'NATION_2', 'NATION_3')",
     "preview_top10": _with(*_CLEAN)
-    + f"SELECT {_SILVER_COLUMNS} FROM silver "
+    + f"SELECT {_TABLE_COLUMNS} FROM silver "
     + "ORDER BY VENTA_ARS DESC, NUMERO_TICKET, ID_ARTICULO LIMIT 10",
     "header_normalize": _with(_SALES) + f"SELECT {', '.join(RAW_REQUIRED)} FROM sales",
     "trim_all": _with(_SALES, _DIRTY)
     + f"SELECT TICKET, {POSITION}, "
-    + ", ".join(
-        f"{_trim(c)} AS {c}" for c in ("NUMERO_TICKET", "DESC_ARTICULO", "DESC_FAMILIA", "FECHA")
-    )
+    + ", ".join(f"{_to_double(c) if c in DOUBLE_COLUMNS else _trim(c)} AS {c}" for c in RAW_REQUIRED)
     + " FROM dirty",
     "cast_text": _with(_SALES, _DIRTY)
-    + "SELECT "
+    + "SELECT CAST(TICKET AS VARCHAR) AS TICKET, "
     + ", ".join(
-        f"coalesce(CAST({c} AS VARCHAR), 'nan') AS {c}"
-        for c in (
-            "TICKET", "CANTIDAD_VENDIDA", "FECHA", "NUMERO_TICKET", "ID_SUCURSAL",
-            "DESC_ARTICULO", "FAMILIA", "SUBRUBRO",
-        )
+        f"{_to_double(c)} AS {c}" if c in DOUBLE_COLUMNS else f"coalesce({c}, 'nan') AS {c}"
+        for c in RAW_REQUIRED
     )
     + " FROM dirty",
     "contract_report": _with(_SALES, _DIRTY, _raw())
     + "SELECT path, sheet, count(*) AS row_count, max(missing) AS missing, "
-    + "max(unexpected) AS unexpected, max(missing) = '' AS accepted "
-    + "FROM files WHERE error IS NULL GROUP BY path, sheet",
+    + "max(unexpected) AS unexpected, max(error) AS error, "
+    + "max(error) IS NULL AND max(missing) = '' AS accepted "
+    + "FROM files GROUP BY path, sheet",
     "branch_from_filename": _unit_counts(
         "path, file_branch AS SUCURSAL", (_SALES, _DIRTY, _raw()), "files"
     ),
@@ -548,13 +620,41 @@ ORACLES: dict[str, str] = {
     "silver_build_filled": _silver_of_dirty(fill=True),
     "gold_build": _gold("chain"),
     "gold_build_partition": _gold("partition"),
+    "medallion_gold": _gold(
+        "chain",
+        (_SALES, _DIRTY, _RATES, _raw(_NUMBERED), _TYPED_FILES, _silver(order="path, sheet, row_no")),
+    ),
+    "silver_audit": _with(
+        _SALES, _DIRTY, _RATES, _raw(_NUMBERED), _BRONZE, _MIXED, _TYPED_MIXED, _silver(order="_src_file, YEAR, _src_row")
+    )
+    + f"""
+, units AS (
+  SELECT {UNIT}, count(*) AS rows_in, bool_or(damaged) AS damaged,
+    max(CASE WHEN k % 5 = 2 THEN 'NOTA' WHEN k % 5 = 3 THEN 'OBS' END) AS unexpected
+  FROM mixed GROUP BY {UNIT}
+),
+written AS (
+  SELECT {UNIT}, count(*) AS n, count(*) FILTER (WHERE TIPO_CAMBIO IS NULL) AS without_rate
+  FROM silver GROUP BY {UNIT}
+)
+SELECT {UNIT}, rows_in, coalesce(n, 0) AS rows_out, without_rate AS rows_without_rate, unexpected,
+  CASE WHEN damaged THEN 'missing_columns: COSTO_ARTICULO' WHEN n IS NULL THEN 'no_output_rows' END AS reason,
+  CASE WHEN damaged THEN 'failed' WHEN n IS NULL THEN 'empty' ELSE 'ok' END AS status
+FROM units LEFT JOIN written USING ({UNIT})
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'rates_off_calendar: ' || count(*), 'warning'
+FROM rate_rows WHERE month NOT BETWEEN 1 AND 12 HAVING count(*) > 0""",
     "load_audit": _with(_SALES, _DIRTY, _raw())
     + f"""
-SELECT path, sheet, count(*) FILTER (WHERE row_no > 1) AS data_rows,
-  count(*) FILTER (WHERE row_no > 1 AND {_TS} IS NULL) AS bad_dates,
-  max(CASE WHEN error IS NOT NULL THEN error WHEN file_branch = '' THEN 'empty_branch'
-      WHEN missing <> '' THEN 'missing_columns: ' || missing END) AS reason,
-  CASE WHEN max(CASE WHEN error IS NOT NULL OR file_branch = '' OR missing <> '' THEN 1 END) = 1
-       THEN 'failed' ELSE 'ok' END AS status
-FROM files GROUP BY path, sheet""",
+SELECT path, sheet, data_rows, bad_dates, unexpected,
+  CASE WHEN reason IS NULL AND data_rows > 0 AND bad_dates = data_rows THEN 'no_valid_dates' ELSE reason END AS reason,
+  CASE WHEN reason IS NOT NULL THEN 'failed' WHEN data_rows > 0 AND bad_dates = data_rows THEN 'empty' ELSE 'ok' END AS status
+FROM (
+  SELECT path, sheet, count(*) FILTER (WHERE row_no > 1) AS data_rows,
+    count(*) FILTER (WHERE row_no > 1 AND {_TS} IS NULL) AS bad_dates,
+    nullif(max(unexpected), '') AS unexpected,
+    max(CASE WHEN error IS NOT NULL THEN error WHEN file_branch = '' THEN 'empty_branch'
+        WHEN missing <> '' THEN 'missing_columns: ' || missing END) AS reason
+  FROM files GROUP BY path, sheet
+)""",
 }

@@ -4,10 +4,12 @@ Sums of doubles depend on the order of addition, so aggregated doubles are round
 output, never before.
 """
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saleslake.checks.sales_view import (
     POSITION,
@@ -18,6 +20,7 @@ from saleslake.checks.sales_view import (
     raw_view,
     sales_view,
     silver_view,
+    table,
 )
 from saleslake.functions.dates import to_ts
 from saleslake.functions.metrics import margin_ratio, target_class
@@ -42,7 +45,7 @@ from saleslake.operators.cleaning import (
     valid_dates,
 )
 from saleslake.operators.contract import contract_report
-from saleslake.operators.rates import conform_rates, fill_rates, join_rates, rate_gap_report
+from saleslake.operators.rates import fill_rates, join_rates, rate_gap_report
 from saleslake.operators.sales import dedup_lines, metrics_ars, metrics_usd, positive_sales
 from saleslake.operators.trends import (
     bucket_sales,
@@ -57,18 +60,29 @@ from saleslake.operators.trends import (
 )
 from saleslake.plans.bronze import bronze_build
 from saleslake.plans.gold import gold_build
+from saleslake.plans.jobs import run_silver
 from saleslake.plans.silver import silver_build
 from saleslake.schemas import (
     BRONZE_STORED,
     DOUBLE_COLUMNS,
+    EXTRA,
     GOLD_INPUT,
     INTEGER_COLUMNS,
     RAW_REQUIRED,
     SILVER,
     UNIT,
 )
-from saleslake.sources.layers import read_layer, write_layer
-from saleslake.sources.staging import shared_dir, stage
+from saleslake.sources.layers import read_any_layer, read_layer, write_layer
+from saleslake.sources.rates_file import load_rates, read_rates
+from saleslake.sources.staging import delete_at_exit, shared_dir, stage
+from saleslake.sources.tables import (
+    create_database,
+    preview,
+    register_rates_table,
+    register_table,
+    repair_partitions,
+)
+from saleslake.sources.workbooks import list_workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,21 +110,84 @@ def rounded(df: DataFrame, decimals: dict[str, int] = DECIMALS) -> DataFrame:
 
 
 _stored: dict[tuple[str, str, str], str] = {}
+DATABASE = "saleslake_checks"
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """An unused folder that all executors see; the session's end deletes it."""
+    folder = f"{shared_dir(spark)}/checks/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    delete_at_exit(spark, folder)
+    return folder
 
 
 def stored_layer(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Folder of a layer of the test sales, written once per session."""
+    """Folder of a layer or of files made from the test sales, written once per session."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
-        root = f"{shared_dir(spark)}/layers/{key[0]}/{sf_dir.strip('/').replace('/', '_')}/{name}"
+        root = new_folder(spark, name)
         if name == "bronze":
             write_layer(bronze_build(raw_view(spark, sf_dir)), root)
-        else:
+        elif name == "silver":
             write_layer(silver_view(spark, sf_dir), root)
+        elif name == "mixed":
+            _write_mixed(bronze_build(raw_view(spark, sf_dir, numbered=True)), root)
+        elif name == "rates":
+            _write_rates(spark, sf_dir, root)
+        elif name == "workbooks":
+            _write_workbooks(spark, sf_dir, root)
+        else:
+            raise ValueError(name)
         _stored[key] = root
     return _stored[key]
 
 
+def _branch_number(branch: str = "SUCURSAL") -> Column:
+    return F.substring_index(branch, "_", -1).cast("int")
+
+
+def _is_damaged() -> Column:
+    """The one branch-month that a mixed layer holds in a broken form."""
+    return (F.col("SUCURSAL") == "NATION_5") & (F.col("YEAR") == 1997) & (F.col("MONTH") == 3)
+
+
+def _write_mixed(bronze: DataFrame, root: str) -> None:
+    """A bronze layer by several writers: our own columns, numbers instead of text, whole prices, and columns beyond the contract.
+
+    One branch-month lacks a column.
+    """
+    bronze = stage(bronze)
+    number = _branch_number()
+    whole = [c for c in bronze.columns if c != EXTRA]
+    typed = bronze.withColumns(
+        {c: to_int(F.col(c)) for c in ("NUMERO_TICKET", "CANTIDAD_VENDIDA")}
+        | {c: to_double(F.col(c)) for c in ("VALOR_ARTICULO", "COSTO_ARTICULO")}
+    )
+    priced = bronze.withColumn("VALOR_ARTICULO", to_int(F.col("VALOR_ARTICULO")))
+    write_layer(bronze.where((number % 5).isin(0, 1, 4) & ~_is_damaged()), root)
+    write_layer(typed.where(number % 5 == 2).select(*whole, F.concat(F.lit("nota "), "ID_ARTICULO").alias("NOTA")), root)
+    write_layer(priced.where(number % 5 == 3).select(*whole, F.concat(F.lit("obs "), "FAMILIA").alias("OBS")), root)
+    write_layer(bronze.where(_is_damaged()).drop("COSTO_ARTICULO"), root)
+
+
+def _write_rates(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The rates as CSV files with untidy headers; the order of files and lines is that of ``ord``."""
+    text = rate_rows(spark, sf_dir).repartitionByRange(3, "ord").sortWithinPartitions("ord").select(
+        F.col("year").alias(" Year "), F.col("month").alias("MONTH"), F.col("exchange_rate_ars_usd").alias("Exchange_Rate_ARS_USD")
+    )
+    text.write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(root)
+
+
+SUFFIXES = ["xlsx", "XLSX", "Xlsx", "txt"]
+
+
+def _write_workbooks(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """One file per supplier, below a folder of its name; a quarter of them have another suffix than workbooks."""
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("content"))
+    for place, suffix in enumerate(SUFFIXES):
+        mine = suppliers.where(F.col("s_suppkey") % len(SUFFIXES) == place).repartition("s_suppkey")
+        mine.write.mode("append").option("extension", suffix).partitionBy("s_suppkey").csv(root)
+
+
 def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, stored_layer(spark, sf_dir, "silver"), SILVER)
 
@@ -127,13 +204,77 @@ def scan_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_silver(spark, sf_dir)
 
 
-def rates_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    file_like = rate_rows(spark, sf_dir).select(
-        F.col("year").cast("string").alias(" Year "),
-        F.col("month").cast("string").alias("MONTH"),
-        F.col("exchange_rate_ars_usd").cast("string").alias("Exchange_Rate_ARS_USD"),
+def scan_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze files of several writers as one table; the broken branch-month is left out."""
+    bronze = read_any_layer(spark, stored_layer(spark, sf_dir, "mixed"), BRONZE_STORED)
+    notes = [F.col(EXTRA)[name].alias(name) for name in ("OBS", "NOTA")]
+    return _money_as_numbers(bronze).select(*RAW_REQUIRED, *UNIT, "_src_file", "_src_row", *notes)
+
+
+def silver_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of a silver run over bronze files of several writers and rates files."""
+    bronze, rates = stored_layer(spark, sf_dir, "mixed"), stored_layer(spark, sf_dir, "rates")
+    return run_silver(spark, bronze, rates, new_folder(spark, "silver")).drop("run_id", "run_at")
+
+
+def workbook_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files below a folder that are workbooks by their suffix in any case."""
+    files = list_workbooks(spark, stored_layer(spark, sf_dir, "workbooks"))
+    supplier = F.regexp_extract("path", r"s_suppkey=(\d+)", 1).cast("bigint")
+    return files.select(
+        supplier.alias("s_suppkey"), F.substring_index("path", ".", -1).alias("suffix"), (F.col("length") > 0).alias("has_content")
     )
-    return conform_rates(file_like)
+
+
+def rates_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_rates(spark, stored_layer(spark, sf_dir, "rates")).drop("ord")
+
+
+def rates_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rate per month of rates files, the first one in the order of files and lines."""
+    return load_rates(spark, stored_layer(spark, sf_dir, "rates"))
+
+
+def rates_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rates files as a catalog table."""
+    create_database(spark, DATABASE, new_folder(spark, "database"))
+    return spark.table(register_rates_table(spark, DATABASE, "rates", stored_layer(spark, sf_dir, "rates")))
+
+
+def partition_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after one branch-month has been written again with other rows; the others stay."""
+    root, silver = new_folder(spark, "rewritten"), stored_silver(spark, sf_dir)
+    write_layer(silver, root)
+    unit = (F.col("SUCURSAL") == "NATION_2") & (F.col("YEAR") == 1996) & (F.col("MONTH") == 5)
+    changed = silver.where(unit & (F.col("NUMERO_TICKET") % 2 == 0))
+    write_layer(changed.withColumn("CANTIDAD_VENDIDA", F.col("CANTIDAD_VENDIDA") + 1000), root)
+    return read_layer(spark, root, SILVER)
+
+
+def _silver_table(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType = SILVER, repair: bool = True) -> str:
+    create_database(spark, DATABASE, new_folder(spark, "database"))
+    return register_table(spark, DATABASE, name, schema, stored_layer(spark, sf_dir, "silver"), repair)
+
+
+def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver through a catalog table, and how many rows it had before its partitions were registered."""
+    name = _silver_table(spark, sf_dir, "scanned", repair=False)
+    before = spark.table(name).count()
+    repair_partitions(spark, name)
+    return spark.table(name).withColumn("rows_before", F.lit(before).cast("bigint"))
+
+
+def table_redefine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of silver under a wider definition of their table, and how many of them changed by that."""
+    narrow = T.StructType([f for f in SILVER if not f.name.endswith("_USD")])
+    wide = T.StructType([*SILVER.fields, T.StructField("OBSERVACION", T.StringType())])
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    listing = files.load(stored_layer(spark, sf_dir, "silver")).select("path", "length", "modificationTime")
+    name = _silver_table(spark, sf_dir, "redefined", narrow)
+    before = stage(listing)
+    _silver_table(spark, sf_dir, "redefined", wide)
+    changed = stage(listing).exceptAll(before).count() + before.exceptAll(listing).count()
+    return spark.table(name).withColumn("files_changed", F.lit(changed).cast("bigint"))
 
 
 def partition_from_path(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +292,7 @@ def partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def preview_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [F.col("VENTA_ARS").desc(), "NUMERO_TICKET", "ID_ARTICULO"]
-    return stored_silver(spark, sf_dir).orderBy(*order).limit(10)
+    return preview(spark, _silver_table(spark, sf_dir, "previewed"), 10, order)
 
 
 # Clean-up and columns
@@ -164,19 +305,18 @@ def header_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trim_all_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trim_all(dirty_view(spark, sf_dir)).select(
-        "TICKET", *POSITION, "NUMERO_TICKET", "DESC_ARTICULO", "DESC_FAMILIA", "FECHA"
-    )
+    trimmed = trim_all(dirty_view(spark, sf_dir), RAW_REQUIRED)
+    return _money_as_numbers(trimmed).select("TICKET", *POSITION, *RAW_REQUIRED)
 
 
 def cast_text_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = ["FECHA", "NUMERO_TICKET", "ID_SUCURSAL", "DESC_ARTICULO", "FAMILIA", "SUBRUBRO"]
-    return cast_text(dirty_view(spark, sf_dir).select("TICKET", "CANTIDAD_VENDIDA", *columns))
+    dirty = dirty_view(spark, sf_dir).select("TICKET", *RAW_REQUIRED)
+    typed = dirty.withColumns({c: to_int(F.col(c)) for c in ("ID_SUCURSAL", "FAMILIA")})
+    return _money_as_numbers(cast_text(typed))
 
 
 def contract_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readable = raw_view(spark, sf_dir).where(F.col("error").isNull())
-    return contract_report(readable)
+    return contract_report(raw_view(spark, sf_dir), RAW_REQUIRED)
 
 
 def branch_from_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -410,11 +550,14 @@ def flags_by_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Layers and audit
 
 
+def _money_as_numbers(df: DataFrame) -> DataFrame:
+    """Money text as numbers: engines write the same double differently."""
+    return df.withColumns({c: to_double(F.col(c)) for c in DOUBLE_COLUMNS})
+
+
 def _comparable_bronze(bronze: DataFrame) -> DataFrame:
-    """Bronze with money text as numbers: engines write the same double differently."""
-    money = {c: to_double(F.col(c)) for c in DOUBLE_COLUMNS}
-    note = F.col("_extra")["OBS"].alias("OBS")
-    return bronze.withColumns(money).select(*RAW_REQUIRED, *UNIT, "_src_file", "_src_row", note)
+    note = F.col(EXTRA)["OBS"].alias("OBS")
+    return _money_as_numbers(bronze).select(*RAW_REQUIRED, *UNIT, "_src_file", "_src_row", note)
 
 
 def bronze_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -444,6 +587,13 @@ def gold_layer_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(gold_build(silver, "partition", stage))
 
 
+def medallion_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw sheet rows to gold: duplicates go by file, sheet and row."""
+    bronze = bronze_build(raw_view(spark, sf_dir, numbered=True))
+    silver = stage(silver_build(bronze, rates_view(spark, sf_dir)).select(*GOLD_INPUT, *UNIT))
+    return rounded(gold_build(silver, "chain", stage))
+
+
 def raw_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_audit(raw_view(spark, sf_dir))
 
@@ -451,7 +601,14 @@ def raw_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "scan_bronze": scan_bronze,
     "scan_silver": scan_silver,
+    "scan_mixed": scan_mixed,
+    "list_workbooks": workbook_listing,
+    "partition_rewrite": partition_rewrite,
+    "table_scan": table_scan,
+    "table_redefine": table_redefine,
+    "rates_table": rates_table,
     "rates_load": rates_load,
+    "rates_first": rates_first,
     "partition_from_path": partition_from_path,
     "partition_prune": partition_prune,
     "preview_top10": preview_top10,
@@ -503,5 +660,7 @@ QUERIES: dict[str, Query] = {
     "silver_build_filled": silver_layer_filled,
     "gold_build": gold_layer,
     "gold_build_partition": gold_layer_partition,
+    "medallion_gold": medallion_gold,
     "load_audit": raw_load_audit,
+    "silver_audit": silver_audit,
 }

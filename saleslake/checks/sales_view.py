@@ -6,11 +6,10 @@ are merged on the order key: both grow with the data, and a key has a handful of
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from saleslake.functions.text import strip
 from saleslake.operators.cleaning import add_unit, coerce_date, valid_dates
-from saleslake.operators.contract import missing_names, unexpected_names
 from saleslake.operators.rates import unique_rates
 from saleslake.plans.silver import silver_lines
 from saleslake.schemas import RAW_REQUIRED, UNIT
@@ -74,7 +73,8 @@ def rate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates file content: one row per month with orders, with gaps, repeats and a null.
 
     Months 17, 34, … are absent, month 20 comes twice, month 30 has no rate, and month 40
-    comes first without and then with a rate. ``ord`` is the row order of the file.
+    comes first without and then with a rate. Month 25 comes a second time as month 13 of its year,
+    which is no month. ``ord`` is the row order of the file.
     """
     n = (F.col("year") - 1995) * 12 + F.col("month")
     months = (
@@ -83,13 +83,14 @@ def rate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .distinct()
         .where(n % 17 != 0)
     )
-    repeats = F.when(n.isin(20, 40), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    repeats = F.when(n.isin(20, 25, 40), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     rows = months.select("year", "month", n.alias("n"), F.explode(repeats).alias("repeat"))
+    no_month = (F.col("n") == 25) & (F.col("repeat") == 1)
     no_rate = (F.col("n") == 30) | ((F.col("n") == 40) & (F.col("repeat") == 0))
     rate = F.lit(800.37) + 5 * F.col("n") + 50 * F.col("repeat")
     return rows.select(
         "year",
-        "month",
+        F.when(no_month, 13).otherwise(F.col("month")).alias("month"),
         F.when(~no_rate, rate).alias("exchange_rate_ars_usd"),
         (F.col("n") * 2 + F.col("repeat")).alias("ord"),
     )
@@ -100,9 +101,16 @@ def rates_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver lines of the typed sales."""
+    """Silver lines of the typed sales; some have a weekday of no known name, some no day of the month."""
     sales = sales_view(spark, sf_dir)
-    return silver_lines(sales, rates_view(spark, sf_dir), source_order=POSITION)
+    lines = silver_lines(sales, rates_view(spark, sf_dir), source_order=POSITION)
+    ticket = F.col("NUMERO_TICKET")
+    return lines.withColumns(
+        {
+            "DIA_SEMANA": F.when(ticket % 53 == 0, "Feriado").otherwise(F.col("DIA_SEMANA")),
+            "DIA_MES": F.when(ticket % 43 != 0, F.col("DIA_MES")),
+        }
+    )
 
 
 def _damaged(sales: DataFrame) -> dict[str, Column]:
@@ -120,7 +128,11 @@ def _damaged(sales: DataFrame) -> dict[str, Column]:
         .otherwise(text["CANTIDAD_VENDIDA"]),
         "VALOR_ARTICULO": F.when(every(83), "1,234").otherwise(text["VALOR_ARTICULO"]),
         "COSTO_ARTICULO": F.when(every(79), "12d").otherwise(text["COSTO_ARTICULO"]),
-        "FECHA": F.when(every(73), "no date").otherwise(text["FECHA"]),
+        "FECHA": F.when(every(73), "no date")
+        .when(every(67), F.date_format("FECHA", "yyyy-MM-dd"))
+        .when(every(61), F.date_format("FECHA", "yyyy-MM-dd'T'HH:mm:ss.SSS"))
+        .when(every(59), F.date_format("FECHA", "yyyyMMdd"))
+        .otherwise(text["FECHA"]),
         "DESC_ARTICULO": F.when(every(71), F.concat(F.lit("\t "), article, F.lit(" \t")))
         .when(~every(47), article),
     }
@@ -146,11 +158,17 @@ def bronze_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_dates(coerce_date(dirty_view(spark, sf_dir)))
 
 
-def raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Header texts of the raw sheets: every second one in lower case and between blanks.
+UNTIDY = [f" {c.lower()} " if i % 2 else c for i, c in enumerate(RAW_REQUIRED)]
+
+
+def raw_view(spark: SparkSession, sf_dir: str, numbered: bool = False) -> DataFrame:
     """The damaged sales as rows of workbook sheets, one workbook per branch, a sheet per year.
 
-    Some workbooks break the rules: a missing column, an extra column, a file name without a
-    branch, an unreadable file.
+    Headers and cells are as a reader finds them. Some workbooks break the rules: a missing
+    column, an extra column, a file name without a branch, an unreadable file; one sheet has no
+    valid date. ``numbered`` gives every row of a sheet a number of its own instead of its ticket
+    line's.
     """
     dirty = dirty_view(spark, sf_dir)
     branch = F.substring_index("SUCURSAL", "_", -1).cast("int")
@@ -159,27 +177,29 @@ def raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(branch % 2 == 1, F.concat(F.lit("raw/ventas/VENTAS - "), "SUCURSAL", F.lit(".XLSX")))
         .otherwise(F.concat(F.lit("raw/ventas/Ventas_"), "SUCURSAL", F.lit(".xlsx")))
     )
-
-    note = F.create_map(F.lit("OBS"), F.concat(F.lit("linea "), F.col("_pos_line")))
     lacks_cost, has_note, unreadable = branch % 11 == 3, branch % 5 == 1, branch == 9
-    names = (
-        F.when(unreadable, None)
-        .when(lacks_cost, F.array(*[F.lit(c) for c in RAW_REQUIRED if c != "COSTO_ARTICULO"]))
-        .when(has_note, F.array(*[F.lit(c) for c in [*RAW_REQUIRED, "OBS"]]))
-        .otherwise(F.array(*[F.lit(c) for c in RAW_REQUIRED]))
-    )
-    cells = {c: F.col(c) for c in RAW_REQUIRED} | {
-        "COSTO_ARTICULO": F.when(~lacks_cost, F.col("COSTO_ARTICULO")),
-        "DESC_ARTICULO": strip(F.col("DESC_ARTICULO")),
-    }
+    undated = (branch == 4) & (F.col("YEAR") == 1996)
+    headers = [F.lit(h) for h in UNTIDY]
+    texts = {c: F.col(c) for c in RAW_REQUIRED}
+    texts["FECHA"] = F.when(undated, "sin fecha").otherwise(F.col("FECHA"))
+    cells = list(texts.values())
+    note = F.concat(F.lit(" linea "), F.col("_pos_line"))
+    if numbered:
+        order = ["TICKET", *POSITION, "ID_ARTICULO"]
+        row_no = F.row_number().over(W.partitionBy("SUCURSAL", "YEAR").orderBy(*order)).cast("bigint") + 1
+    else:
+        row_no = F.col("_pos_line").cast("bigint") + 1
+
+    def by_branch(plain: list[Column], last: Column) -> Column:
+        short = F.when(lacks_cost, F.array(*plain[:-1])).when(has_note, F.array(*plain, last))
+        return F.when(~unreadable, short.otherwise(F.array(*plain)))
+
     return dirty.select(
         path.alias("path"),
         F.when(~unreadable, F.col("YEAR").cast("string")).alias("sheet"),
         F.when(~unreadable, F.col("YEAR") - 1995).alias("sheet_no"),
-        F.when(~unreadable, F.col("_pos_line").cast("bigint") + 1).alias("row_no"),
+        F.when(~unreadable, row_no).alias("row_no"),
         F.when(unreadable, "unreadable_workbook: BadZipFile").alias("error"),
-        missing_names(names, RAW_REQUIRED).alias("missing"),
-        unexpected_names(names, RAW_REQUIRED).alias("unexpected"),
-        *[F.when(~unreadable, cells[c]).alias(c) for c in RAW_REQUIRED],
-        F.when(has_note & ~lacks_cost & ~unreadable, note).alias("extra"),
+        by_branch(headers, F.lit("Obs ")).alias("header"),
+        by_branch(cells, note).alias("cells"),
     )

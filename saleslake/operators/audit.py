@@ -1,46 +1,64 @@
 """Run audit: one row per unit with counters, status and reason."""
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleslake.functions.dates import DATE_FORMATS, to_ts
-from saleslake.functions.text import branch_from_path
-from saleslake.schemas import UNIT
+from saleslake.functions.text import branch_from_path, strip
+from saleslake.operators.contract import cell, with_contract
+from saleslake.schemas import RAW_REQUIRED, UNIT
 
 
 def load_audit(
-    df: DataFrame, unit: Sequence[str], checks: dict[str, Column], reason: Column
+    df: DataFrame,
+    unit: Sequence[str],
+    checks: dict[str, Column],
+    reason: Column,
+    notes: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Rows, rows failing each check, and the reason why a unit failed (null if it did not).
 
-    ``reason`` is evaluated per row; partial aggregation leaves one row per unit and task.
+    ``reason`` and ``notes`` are evaluated per row, the largest value of a unit is reported; partial
+    aggregation leaves one row per unit and task.
     """
     counters = [F.count_if(F.coalesce(bad, F.lit(False))).alias(name) for name, bad in checks.items()]
+    remarks = [F.max(c).alias(name) for name, c in (notes or {}).items()]
     audited = df.groupBy(*unit).agg(
-        F.count(F.lit(1)).alias("row_count"), *counters, F.max(reason).alias("reason")
+        F.count(F.lit(1)).alias("row_count"), *counters, *remarks, F.max(reason).alias("reason")
     )
     status = F.when(F.col("reason").isNull(), "ok").otherwise("failed")
     return audited.withColumn("status", status)
 
 
 def raw_reason() -> Column:
-    """Why a raw row's sheet is rejected; null for an accepted one."""
+    """Why a raw row's sheet is rejected, after ``with_contract``; null for an accepted one."""
     missing = F.col("missing")
     return (
         F.when(F.col("error").isNotNull(), F.col("error"))
+        .when(F.col("repeated"), F.lit("duplicate_columns"))
         .when(branch_from_path(F.col("path")) == "", F.lit("empty_branch"))
         .when(missing != "", F.concat(F.lit("missing_columns: "), missing))
     )
 
 
 def raw_audit(raw: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
-    """Audit per workbook sheet: header record included in the contract, not in the counts."""
+    """Audit per workbook sheet: header record included in the contract, not in the counts.
+
+    ``unexpected`` names the columns beyond the contract, also of an accepted sheet.
+    """
+    judged = with_contract(raw, RAW_REQUIRED)
     data_row = F.col("row_no") > 1
-    bad_date = data_row & to_ts(F.col("FECHA"), formats).isNull()
+    bad_date = data_row & to_ts(strip(cell("FECHA")), formats).isNull()
+    beyond = F.when(F.col("unexpected") != "", F.col("unexpected"))
     audited = load_audit(
-        raw, ["path", "sheet"], {"data_rows": data_row, "bad_dates": bad_date}, raw_reason()
+        judged,
+        ["path", "sheet"],
+        {"data_rows": data_row, "bad_dates": bad_date},
+        raw_reason(),
+        {"unexpected": beyond},
     )
     undated = F.col("reason").isNull() & (F.col("data_rows") > 0) & (F.col("bad_dates") == F.col("data_rows"))
     return audited.withColumns(
@@ -51,16 +69,16 @@ def raw_audit(raw: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFram
     ).drop("row_count")
 
 
-def unit_audit(
-    report: DataFrame, rows: DataFrame, output: DataFrame, without_rate: Column | None = None
-) -> DataFrame:
+def unit_audit(report: DataFrame, written: DataFrame) -> DataFrame:
     """Audit per branch-month: input and output rows, lines without a rate, columns, status.
 
-    ``report`` comes from ``unit_contract`` on the input, ``rows`` counts the input.
+    ``report`` is the contract of the input files and counts their rows, ``written`` counts the
+    rows of the files that the run has added (``rows_out`` and ``rows_without_rate``). Both come from
+    footers, so the audit reads no row again.
     """
-    lacking = F.count_if(without_rate) if without_rate is not None else F.lit(None).cast("bigint")
-    written = output.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("_out"), lacking.alias("rows_without_rate"))
-    audited = report.join(rows, UNIT, "left").join(written, UNIT, "left")
+    same = [F.col(u).eqNullSafe(F.col(f"_{u}")) for u in UNIT]
+    counted = written.select(*[F.col(u).alias(f"_{u}") for u in UNIT], F.col("rows_out").alias("_out"), "rows_without_rate")
+    audited = report.join(counted, same, "left")
     rows_out = F.coalesce("_out", F.lit(0))
     failed = F.col("reason").isNotNull()
     reason = F.coalesce("reason", F.when(rows_out == 0, F.lit("no_output_rows")))
@@ -74,3 +92,8 @@ def unit_audit(
         reason.alias("reason"),
         status.alias("status"),
     )
+
+
+def of_run(audit: DataFrame, run_id: str | None = None) -> DataFrame:
+    """The audit rows of one run, told from those of other runs by its id and the time of the audit."""
+    return audit.withColumns({"run_id": F.lit(run_id or uuid.uuid4().hex), "run_at": F.current_timestamp()})

@@ -26,14 +26,15 @@ def _text_columns(df: DataFrame) -> list[str]:
     return [name for name, kind in df.dtypes if kind == "string"]
 
 
-def trim_all(df: DataFrame) -> DataFrame:
-    """Trim every text column."""
-    return df.withColumns({c: strip(F.col(c)) for c in _text_columns(df)})
+def trim_all(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Trim every text column, or those named."""
+    return df.withColumns({c: strip(F.col(c)) for c in (_text_columns(df) if columns is None else columns)})
 
 
-def cast_text(df: DataFrame, null_text: str = "nan") -> DataFrame:
-    """Every column as text, missing cells as ``null_text``."""
-    return df.select(*[text_or(F.col(c), null_text).alias(c) for c in df.columns])
+def cast_text(df: DataFrame, null_text: str = "nan", columns: Sequence[str] | None = None) -> DataFrame:
+    """Every column, or those named, as text, missing cells as ``null_text``."""
+    chosen = df.columns if columns is None else columns
+    return df.select(*[text_or(F.col(c), null_text).alias(c) if c in chosen else c for c in df.columns])
 
 
 def coerce_numbers(

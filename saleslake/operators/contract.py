@@ -6,6 +6,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from saleslake.functions.text import strip
+
 
 class ContractError(ValueError):
     """A table that lacks required columns."""
@@ -44,23 +46,64 @@ def unexpected_names(present: Column, required: Sequence[str]) -> Column:
     return _joined(F.array_except(present, F.array(*[F.lit(n) for n in required])))
 
 
-def contract_report(raw: DataFrame, unit: Sequence[str] = ("path", "sheet")) -> DataFrame:
-    """One row per unit of raw sheet rows, with the header report that its rows carry.
+def header_names(header: Column) -> Column:
+    """Column names of a sheet: trimmed and in upper case.
+
+    A blank header cell is named by its position, and a text that occurs again gets a running
+    number, as the usual table readers do, before names are trimmed. Names that become equal only
+    then stay equal.
+    """
+    texts = F.transform(header, lambda h, i: F.coalesce(h, F.concat(F.lit("Unnamed: "), i)))
+
+    def numbered(h: Column, i: Column) -> Column:
+        before = F.size(F.filter(F.slice(texts, F.lit(1), i), lambda x: x == h))
+        return F.when(before > 0, F.concat(h, F.lit("."), before)).otherwise(h)
+
+    once = F.size(F.array_distinct(texts)) == F.size(texts)
+    return F.transform(F.when(once, texts).otherwise(F.transform(texts, numbered)), lambda h: F.upper(strip(h)))
+
+
+def with_contract(raw: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Raw sheet rows with ``names``, the ``missing`` and ``unexpected`` ones, and ``repeated``, by their own header.
+
+    A row without a header (an unreadable workbook or sheet) has nulls.
+    """
+    named = raw.withColumn("names", header_names(F.col("header")))
+    return named.withColumns(
+        {
+            "missing": missing_names(F.col("names"), required),
+            "unexpected": unexpected_names(F.col("names"), required),
+            "repeated": F.size(F.array_distinct("names")) < F.size("header"),
+        }
+    )
+
+
+def cell(name: str | Column) -> Column:
+    """Cell of a named column in a raw row; null where the row is shorter or has no such column."""
+    return F.get("cells", (F.array_position("names", name) - 1).cast("int"))
+
+
+def contract_report(raw: DataFrame, required: Sequence[str], unit: Sequence[str] = ("path", "sheet")) -> DataFrame:
+    """One row per unit of raw sheet rows: what its header lacks or has beyond the contract, and whether it is accepted.
 
     All rows of a unit share one header, so the maximum is that header's report and the
-    aggregate shrinks to one row per unit before the shuffle.
+    aggregate shrinks to one row per unit before the shuffle. An unreadable unit has no header and is
+    not accepted.
     """
     return (
-        raw.groupBy(*unit)
+        with_contract(raw, required)
+        .groupBy(*unit)
         .agg(
             F.count(F.lit(1)).alias("row_count"),
             F.max("missing").alias("missing"),
             F.max("unexpected").alias("unexpected"),
+            F.max("error").alias("error"),
+            F.coalesce(F.every((F.col("missing") == "") & ~F.col("repeated") & F.col("error").isNull()), F.lit(False)).alias("accepted"),
         )
-        .withColumn("accepted", F.col("missing") == "")
     )
 
 
 def reject_units(df: DataFrame, rejected: DataFrame, unit: Sequence[str]) -> DataFrame:
-    """Rows whose unit is not listed in ``rejected``."""
-    return df.join(rejected.select(*unit), list(unit), "left_anti")
+    """Rows whose unit is not listed in ``rejected``; a null is a value like any other."""
+    named = rejected.select(*[F.col(u).alias(f"_rejected_{u}") for u in unit])
+    return df.join(named, [F.col(u).eqNullSafe(F.col(f"_rejected_{u}")) for u in unit], "left_anti")

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saleslake.functions.dates import DATE_FORMATS
-from saleslake.functions.text import branch_from_path, text_or
+from saleslake.functions.text import branch_from_path, strip
 from saleslake.operators.audit import raw_reason
-from saleslake.operators.cleaning import add_unit, coerce_date, valid_dates
-from saleslake.schemas import RAW_REQUIRED
+from saleslake.operators.cleaning import add_unit, cast_text, coerce_date, trim_all, valid_dates
+from saleslake.operators.contract import cell, with_contract
+from saleslake.schemas import EXTRA, RAW_REQUIRED
 
 NULL_TEXT = "nan"
 
@@ -19,16 +20,20 @@ def bronze_build(
 ) -> DataFrame:
     """Rows of all accepted sheets: required columns as text, FECHA as timestamp.
 
-    Each row carries its sheet's contract report, so nothing is shuffled. Columns beyond the
-    contract stay in the map ``_extra``.
+    Each row carries its sheet's header, so nothing is shuffled. Columns beyond the contract
+    stay in the map ``_extra``.
     """
-    accepted = raw.where((F.col("row_no") > 1) & raw_reason().isNull())
-    rows = accepted.select(
-        *[text_or(F.col(c), null_text).alias(c) for c in RAW_REQUIRED],
+    judged = with_contract(raw, RAW_REQUIRED)
+    accepted = judged.where((F.col("row_no") > 1) & raw_reason().isNull())
+    beyond = F.array_except("names", F.array(*[F.lit(c) for c in RAW_REQUIRED]))
+    extra = F.map_from_entries(F.transform(beyond, lambda n: F.struct(n, strip(cell(n)))))
+    cells = accepted.select(
+        *[cell(c).alias(c) for c in RAW_REQUIRED],
         branch_from_path(F.col("path")).alias("SUCURSAL"),
         F.col("path").alias("_src_file"),
         F.col("sheet_no").alias("_src_sheet_no"),
         F.col("row_no").alias("_src_row"),
-        F.col("extra").alias("_extra"),
+        F.when(F.col("unexpected") != "", extra).alias(EXTRA),
     )
+    rows = cast_text(trim_all(cells, RAW_REQUIRED), null_text, RAW_REQUIRED)
     return add_unit(valid_dates(coerce_date(rows, formats=formats)), F.col("SUCURSAL"))

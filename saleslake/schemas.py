@@ -94,7 +94,7 @@ PARTITION_FIELDS = [
     T.StructField("month", T.IntegerType()),
 ]
 
-# Rows of workbook sheets: position, what is wrong with the sheet, trimmed cells by column.
+# Rows of workbook sheets as they are: position, reading error, header and cells by column.
 RAW = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -102,10 +102,8 @@ RAW = T.StructType(
         T.StructField("sheet_no", T.IntegerType()),
         T.StructField("row_no", T.LongType()),
         T.StructField("error", T.StringType()),
-        T.StructField("missing", T.StringType()),
-        T.StructField("unexpected", T.StringType()),
-        *[T.StructField(c, T.StringType()) for c in RAW_REQUIRED],
-        T.StructField("extra", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("header", T.ArrayType(T.StringType())),
+        T.StructField("cells", T.ArrayType(T.StringType())),
     ]
 )
 

@@ -11,9 +11,23 @@ Stage = Callable[[DataFrame], DataFrame]
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for staged tables: ``spark.checkpoint.dir``, or else below the session's warehouse."""
+    """Folder for staged tables: ``spark.checkpoint.dir``, or else below the session's warehouse.
+
+    A warehouse in a folder of the driver's machine is no place for them on a cluster, whose
+    executors can't see it: there the setting has to be made.
+    """
     configured = spark.conf.get(CHECKPOINT_DIR, None)
-    return configured.rstrip("/") if configured else f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/_staging"
+    if configured:
+        return configured.rstrip("/")
+    warehouse = spark.conf.get(WAREHOUSE_DIR).rstrip("/")
+    if _is_machine_local(spark, warehouse) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that the cluster shares; {warehouse} is on one machine")
+    return f"{warehouse}/_staging"
+
+
+def _is_machine_local(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getScheme() == "file"
 
 
 def delete_at_exit(spark: SparkSession, folder: str) -> None:
@@ -26,12 +40,11 @@ def stage(df: DataFrame) -> DataFrame:
     """Write a table once and continue from the files.
 
     Used where a result has several consumers: readers prune columns, lineage ends at the
-    files, and the planner knows the real size of what it joins. A session has one folder for
-    each plan: staging the same plan again overwrites it, and the session's end deletes it.
+    files, and the planner knows the real size of what it joins. Every table has a folder of its
+    own, since an earlier one may still be read; the session's end deletes them all.
     """
     spark = df.sparkSession
-    root = f"{shared_dir(spark)}/staged/{spark.sparkContext.applicationId}"
-    path = f"{root}/{df.semanticHash() & 0xFFFFFFFF:08x}-{len(df.columns)}"
+    path = f"{shared_dir(spark)}/staged/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     staged = _write(df, path)
     delete_at_exit(spark, path)
     return staged

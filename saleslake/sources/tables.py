@@ -1,13 +1,21 @@
 """Catalog tables over the layer folders."""
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from saleslake.schemas import PARTITION_COLUMNS, RATES, with_partitions
 
 
-def create_database(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """A database, in the warehouse or in a folder of its own."""
+    place = f" LOCATION {_quoted(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
 
 
 def _columns_ddl(schema: T.StructType) -> str:
@@ -15,37 +23,51 @@ def _columns_ddl(schema: T.StructType) -> str:
 
 
 def register_table(
-    spark: SparkSession, database: str, name: str, schema: T.StructType, root: str
+    spark: SparkSession,
+    database: str,
+    name: str,
+    schema: T.StructType,
+    root: str,
+    repair: bool = True,
 ) -> str:
     """(Re)define the external table of a layer and register the partitions found in storage.
 
-    Dropping an external table removes its definition only; the files stay.
+    Dropping an external table removes its definition only; the files stay. The table has the
+    partitions that the catalog knows, so none before the first repair.
     """
     table = f"{database}.{name}"
     create_database(spark, database)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({_columns_ddl(with_partitions(schema))}) "
-        f"USING PARQUET PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}) LOCATION '{root}'"
+        f"USING PARQUET PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}) LOCATION {_quoted(root)}"
     )
-    repair_partitions(spark, table)
+    if repair:
+        repair_partitions(spark, table)
     return table
 
 
 def repair_partitions(spark: SparkSession, table: str) -> None:
+    """Register the branch-months that storage has and the catalog doesn't."""
     spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
 def register_rates_table(spark: SparkSession, database: str, name: str, root: str) -> str:
-    """External table over a folder of rates files with one header line."""
+    """(Re)define the external table over a folder of rates files with one header line each.
+
+    Columns go by position, whatever the header calls them.
+    """
     table = f"{database}.{name}"
     create_database(spark, database)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({_columns_ddl(RATES)}) "
-        f"USING CSV OPTIONS (header 'true') LOCATION '{root}'"
+        f"USING CSV OPTIONS (header 'true') LOCATION {_quoted(root)}"
     )
     return table
 
 
-def preview(spark: SparkSession, table: str, n: int = 10) -> DataFrame:
-    return spark.table(table).limit(n)
+def preview(spark: SparkSession, table: str, n: int = 10, order: Sequence[str | Column] = ()) -> DataFrame:
+    """The first rows of a table: any, or the first in an order, which every task cuts to ``n`` rows itself."""
+    rows = spark.table(table)
+    return (rows.orderBy(*order) if order else rows).limit(n)

@@ -14,7 +14,7 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from saleslake.schemas import RAW, RAW_REQUIRED
+from saleslake.schemas import RAW
 
 ROWS_PER_BATCH = 5_000
 XLSX_GLOB = "*.[xX][lL][sS][xX]"
@@ -27,9 +27,6 @@ MISSING_TEXTS = {
 # Built-in number formats of the file format that show a date or a time.
 DATE_FORMAT_IDS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
 
-# A row without report, cells and extra columns.
-NO_CELLS = [None] * (len(RAW_REQUIRED) + 3)
-
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
@@ -40,11 +37,11 @@ def list_workbooks(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_workbooks(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of all sheets of all workbooks: headers normalised, cells trimmed.
+    """Rows of all sheets of all workbooks: header and cells of every row as arrays of texts, by column.
 
-    Every row names the required columns that its sheet lacks and those it has beyond them.
-    Row 1 stands for the header (no cell values), so a sheet without data rows is still seen
-    by the audit. An unreadable workbook or sheet is one row with its ``error``.
+    Row 1 stands for the header (it has no cells), so a sheet without data rows is still seen by
+    the audit; a sheet without any row has an empty header. An unreadable workbook or sheet is one
+    row with its ``error``. Names, contract and clean-up are up to ``operators``.
     """
     return _files(spark, root).select("path", "content").mapInPandas(_rows, RAW)
 
@@ -76,50 +73,22 @@ def _workbook_records(content: bytes) -> Iterator[tuple]:
         date_styles, epoch = _date_styles(archive), _epoch(archive)
         sheets = _sheets(archive)
     except Exception as e:
-        yield None, None, None, f"unreadable_workbook: {type(e).__name__}", *NO_CELLS
+        yield None, None, None, f"unreadable_workbook: {type(e).__name__}", None, None
         return
     for number, (name, part) in enumerate(sheets):
+        header = None
         try:
-            yield from _sheet_records(archive, name, number, part, strings, date_styles, epoch)
+            for row_no, values in _sheet_rows(archive, part, strings, date_styles, epoch):
+                texts = [values.get(i) for i in range(max(values, default=-1) + 1)]
+                if header is None:
+                    header = texts
+                    yield name, number, 1, None, header, None
+                else:
+                    yield name, number, row_no, None, header, texts
+            if header is None:
+                yield name, number, 1, None, [], None
         except Exception as e:
-            yield name, number, None, f"unreadable_sheet: {type(e).__name__}", *NO_CELLS
-
-
-def _sheet_records(archive, name, number, part, strings, date_styles, epoch) -> Iterator[tuple]:
-    header, report, required, extra = None, None, [], {}
-    for row_no, values in _sheet_rows(archive, part, strings, date_styles, epoch):
-        if header is None:
-            header = _header(values)
-            if len(set(header)) < len(header):
-                yield name, number, 1, "duplicate_columns", *NO_CELLS
-                return
-            report = _report(header)
-            place = {h: i for i, h in enumerate(header)}
-            required = [place.get(c) for c in RAW_REQUIRED]
-            extra = {h: i for h, i in place.items() if h not in RAW_REQUIRED}
-            yield name, number, 1, None, *report, *NO_CELLS[2:]
-            continue
-        cells = [values.get(i) for i in required]
-        rest = {h: values.get(i) for h, i in extra.items()} if extra else None
-        yield name, number, row_no, None, *report, *cells, rest
-    if header is None:
-        yield name, number, 1, None, *_report([]), *NO_CELLS[2:]
-
-
-def _report(header: list[str]) -> tuple[str, str]:
-    """Missing and unexpected columns of a sheet, sorted and comma-joined."""
-    present, wanted = set(header), set(RAW_REQUIRED)
-    return ",".join(sorted(wanted - present)), ",".join(sorted(present - wanted))
-
-
-def _header(values: dict[int, str]) -> list[str]:
-    """Normalised header names; a repeated name gets a running suffix, an empty one a number."""
-    names, seen = [], {}
-    for i in range(max(values, default=-1) + 1):
-        name = values.get(i) or f"Unnamed: {i}"
-        seen[name] = seen.get(name, -1) + 1
-        names.append((f"{name}.{seen[name]}" if seen[name] else name).strip().upper())
-    return names
+            yield name, number, None, f"unreadable_sheet: {type(e).__name__}", None, None
 
 
 def _sheet_rows(archive, part, strings, date_styles, epoch) -> Iterator[tuple[int, dict]]:
@@ -135,7 +104,7 @@ def _sheet_rows(archive, part, strings, date_styles, epoch) -> Iterator[tuple[in
                 column = _column(cell.get("r")) if cell.get("r") else column + 1
                 text = _cell_text(cell, strings, date_styles, epoch)
                 if text is not None and text not in MISSING_TEXTS:
-                    values[column] = text.strip()
+                    values[column] = text
             yield row_no, values
             element.clear()
 

@@ -28,7 +28,7 @@ from saleslake.operators.trends import (
     weekday_profile,
     weekly_trend,
 )
-from saleslake.schemas import RAW, UNIT
+from saleslake.schemas import RAW, RAW_REQUIRED, UNIT
 
 UNIT_DDL = "SUCURSAL string, YEAR int, MONTH int"
 LINE_DDL = f"{UNIT_DDL}, DIA_MES bigint, DIA_SEMANA string, VENTA_USD double"
@@ -188,9 +188,8 @@ def test_no_line_is_lost_for_an_unknown_weekday_or_day(spark):
 
 
 def test_sheet_with_only_bad_dates_is_empty(spark):
-    cells = {f: None for f in RAW.fieldNames()} | {"path": "raw/Ventas_N.xlsx", "missing": "", "unexpected": ""}
-    rows = [cells | {"sheet": s, "row_no": n, "FECHA": d} for s, n, d in [("a", 1, None), ("a", 2, "bad"), ("b", 2, "bad"), ("b", 3, "20240105")]]
-    raw = spark.createDataFrame([tuple(r[f] for f in RAW.fieldNames()) for r in rows], RAW)
+    rows = [("a", 1, None), ("a", 2, "bad"), ("b", 2, "bad"), ("b", 3, " 20240105")]
+    raw = spark.createDataFrame([("raw/Ventas_N.xlsx", s, 0, n, None, RAW_REQUIRED, [d] if d else None) for s, n, d in rows], RAW)
     got = {r.sheet: (r.status, r.reason, r.data_rows, r.bad_dates) for r in raw_audit(raw).collect()}
     assert got == {"a": ("empty", "no_valid_dates", 1, 1), "b": ("ok", None, 2, 1)}
 

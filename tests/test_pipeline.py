@@ -1,17 +1,20 @@
 """Workbooks, layer files, catalog tables and the three jobs, end to end."""
 
 from datetime import datetime
+from decimal import Decimal
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from xlsx import Date, write_workbook
 
-from saleslake.operators.contract import ContractError
+from saleslake.operators.contract import ContractError, contract_report, header_names
 from saleslake.plans.bronze import bronze_build
 from saleslake.plans.jobs import run_bronze, run_gold, run_silver
-from saleslake.schemas import BRONZE_STORED, GOLD, RAW_REQUIRED, SILVER, SILVER_STORED, UNIT
-from saleslake.sources.layers import read_layer, write_layer
+from saleslake.schemas import BRONZE_STORED, GOLD, RAW, RAW_REQUIRED, SILVER, SILVER_STORED, UNIT
+from saleslake.sources.layers import read_any_layer, read_layer, write_layer
 from saleslake.sources.rates_file import load_rates, off_calendar, read_rates
 from saleslake.sources.staging import CHECKPOINT_DIR, Staging, shared_dir, stage
 from saleslake.sources.tables import (
@@ -88,14 +91,32 @@ def test_workbooks_are_found_in_any_case(spark, raw_root):
 def test_workbook_cells(spark, raw_root):
     rows = read_workbooks(spark, raw_root).where("path like '%Norte%' and row_no > 1")
     first, *_ = rows.where("sheet = 'enero'").orderBy("row_no").collect()
-    assert (first.row_no, first.sheet_no) == (2, 0)
-    assert first.FECHA == "2024-01-05 00:00:00"
-    assert (first.DESC_ARTICULO, first.CANTIDAD_VENDIDA) == ("pan", "2")
-    assert (first.VALOR_ARTICULO, first.missing, first.unexpected) == ("100", "", "")
-    moment = rows.where("sheet = 'febrero'").orderBy("row_no").first().FECHA
+    cells = dict(zip(RAW_REQUIRED, first.cells, strict=True))
+    assert (first.row_no, first.sheet_no, first.header) == (2, 0, HEADER)
+    assert cells["FECHA"] == "2024-01-05 00:00:00"
+    assert (cells["DESC_ARTICULO"], cells["CANTIDAD_VENDIDA"], cells["VALOR_ARTICULO"]) == (" pan\t", "2", "100")
+    moment = rows.where("sheet = 'febrero'").orderBy("row_no").first().cells[0]
     assert moment == "2024-02-01 10:30:00"
 
 
+def test_header_names(spark):
+    headers = [[" fecha ", "X", "X", "x", None, None, "X.1"], [], None, ["a\t", "\u00a0Ñu"]]
+    df = spark.createDataFrame([(h,) for h in headers], "header array<string>")
+    got = [r[0] for r in df.select(header_names(F.col("header"))).collect()]
+    assert got == [["FECHA", "X", "X.1", "X", "UNNAMED: 4", "UNNAMED: 5", "X.1"], [], None, ["A", "ÑU"]]
+
+
+def test_contract_of_units(spark, raw_root):
+    units = contract_report(read_workbooks(spark, raw_root), RAW_REQUIRED).collect()
+    got = {(r.path.split("/")[-1], r.sheet): (r.row_count, r.missing, r.unexpected, r.error, r.accepted) for r in units}
+    assert got["Ventas_Norte.xlsx", "enero"] == (5, "", "", None, True)
+    assert got["VENTAS - San Juan.XLSX", "hoja"] == (2, "", "OBS", None, True)
+    assert got["Ventas_Sin Costo.xlsx", "h"] == (2, "COSTO_ARTICULO", "", None, False)
+    assert got["Ventas_Doble.xlsx", "h"][4] is False
+    assert got["Ventas_Rota.xlsx", None] == (1, None, None, "unreadable_workbook: BadZipFile", False)
+    assert got["Ventas_Cortada.xlsx", "h"][3:] == ("unreadable_sheet: ParseError", False)
+
+
 def test_bronze_of_workbooks(spark, raw_root):
     bronze = bronze_build(read_workbooks(spark, raw_root).where("path not like '%Cortada%'"))
     got = {(r.SUCURSAL, r.MONTH, r.NUMERO_TICKET, r.DESC_ARTICULO) for r in bronze.collect()}
@@ -116,7 +137,9 @@ def test_three_jobs(spark, raw_root, rates_csv, tmp_path):
     audit = {(r.path.split("/")[-1], r.sheet): r for r in run_bronze(spark, raw_root, bronze_root).collect()}
     ok = audit["Ventas_Norte.xlsx", "enero"]
     assert (ok.status, ok.data_rows, ok.bad_dates) == ("ok", 4, 1)
-    assert audit["VENTAS - San Juan.XLSX", "vacia"].status == "ok"
+    assert audit["VENTAS - San Juan.XLSX", "vacia"].status == "ok" and ok.unexpected is None
+    assert audit["VENTAS - San Juan.XLSX", "hoja"].unexpected == "OBS"
+    assert len({r.run_id for r in audit.values()}) == 1 and ok.run_at is not None
     assert audit["Ventas_Sin Costo.xlsx", "h"].reason == "missing_columns: COSTO_ARTICULO"
     assert audit["Ventas_Doble.xlsx", "h"].reason == "duplicate_columns"
     assert audit["Ventas.xlsx", "h"].reason == "empty_branch"
@@ -156,22 +179,18 @@ def test_three_jobs(spark, raw_root, rates_csv, tmp_path):
 
 def test_unit_without_output_is_reported(spark, rates_csv, tmp_path):
     bronze_root, silver_root = str(tmp_path / "bronze"), str(tmp_path / "silver")
-    cells = {c: "1" for c in RAW_REQUIRED} | {"FECHA": "2024-01-05"}
-    raw = spark.createDataFrame(
-        [("Ventas_A.xlsx", "h", 0, 2, None, "", "", *[cells[c] for c in RAW_REQUIRED], None)],
-        read_schema(),
-    )
-    write_layer(bronze_build(raw), bronze_root)
-    assert run_silver(spark, bronze_root, rates_csv, silver_root).first().status == "ok"
-    write_layer(bronze_build(raw.withColumn("CANTIDAD_VENDIDA", F.lit("-1"))), bronze_root)
-    row = run_silver(spark, bronze_root, rates_csv, silver_root).first()
-    assert (row.status, row.rows_out, row.reason) == ("empty", 0, "no_output_rows")
-
 
-def read_schema():
-    from saleslake.schemas import RAW
+    def raw(quantity):
+        cells = dict.fromkeys(RAW_REQUIRED, "1") | {"FECHA": "2024-01-05", "CANTIDAD_VENDIDA": quantity}
+        return spark.createDataFrame([("Ventas_A.xlsx", "h", 0, 2, None, HEADER, list(cells.values()))], RAW)
 
-    return RAW
+    write_layer(bronze_build(raw("1")), bronze_root)
+    first = run_silver(spark, bronze_root, rates_csv, silver_root, run_id="first").first()
+    assert (first.status, first.run_id) == ("ok", "first")
+    write_layer(bronze_build(raw("-1")), bronze_root)
+    row = run_silver(spark, bronze_root, rates_csv, silver_root).first()
+    assert (row.status, row.rows_out, row.reason) == ("empty", 0, "no_output_rows")
+    assert row.run_id != "first" and row.run_at > first.run_at
 
 
 def bronze_row(spark, branch, month, quantity="1"):
@@ -226,9 +245,82 @@ def test_file_of_another_type_is_left_out(spark, rates_csv, tmp_path):
     write_layer(bronze_row(spark, "a", 1).unionByName(bronze_row(spark, "b", 1)), root)
     run_silver(spark, root, rates_csv, silver_root)
     silver = read_layer(spark, silver_root, SILVER)
-    write_layer(stage(silver.where("SUCURSAL = 'a'")).withColumn("VALOR_ARTICULO", F.lit(5).cast("bigint")), silver_root)
+    write_layer(stage(silver.where("SUCURSAL = 'a'")).withColumn("FECHA", F.lit("5 de enero")), silver_root)
     audit = {r.SUCURSAL: (r.status, r.reason) for r in run_gold(spark, silver_root, gold_root).collect()}
-    assert audit == {"a": ("failed", "unreadable_types: VALOR_ARTICULO int64"), "b": ("ok", None)}
+    assert audit == {"a": ("failed", "unreadable_types: FECHA string"), "b": ("ok", None)}
+
+
+def foreign_file(root, branch, month, columns):
+    """A branch-month by another writer: columns replace or extend the contract's text columns."""
+    data = dict.fromkeys(RAW_REQUIRED, ["1", "2"]) | {"FECHA": pa.array([datetime(2024, month, 5)] * 2, pa.timestamp("ns"))}
+    folder = Path(root, f"sucursal={branch}/year=2024/month={month}")
+    folder.mkdir(parents=True)
+    pq.write_table(pa.table(data | columns), folder / "ventas.parquet")
+
+
+def test_files_of_other_writers(spark, rates_csv, tmp_path):
+    """Whole numbers, numbers with missing ones, nanoseconds, dictionaries, columns without values, columns beyond the contract."""
+    root, silver_root, gold_root = (str(tmp_path / n) for n in ("layer", "silver", "gold"))
+    write_layer(bronze_row(spark, "a", 1).withColumn("_extra", F.create_map(F.lit("OBS"), F.lit("own"))), root)
+    foreign_file(root, "b", 1, {"VALOR_ARTICULO": pa.array([5, 7], pa.int64()), "OBS": ["x", None], "month": [9, 9], "__index_level_0__": [0, 1]})
+    numbers = {
+        "VALOR_ARTICULO": pa.array([2.5, None], pa.float64()),
+        "COSTO_ARTICULO": pa.array([1, 2], pa.uint8()),
+        "ID_ARTICULO": pa.array([True, False]),
+        "NUMERO_TICKET": pa.array([Decimal("12.70"), Decimal("3.00")], pa.decimal128(9, 2)),
+        "DESC_ARTICULO": pa.array(["pan", "vino"]).dictionary_encode(),
+        "DESC_RUBRO": pa.nulls(2),
+        "LISTA": pa.array([[1, 2], None], pa.list_(pa.int64())),
+    }
+    foreign_file(root, "San {J,*}", 2, numbers)
+    foreign_file(root, "c", 1, {"FECHA": ["2024-01-05"] * 2})
+    foreign_file(root, "d", 1, {"fecha": ["2024-01-05"] * 2})
+    foreign_file(root, "e", 1, {})
+    Path(root, "sucursal=e/year=2024/month=1/ventas.parquet").write_bytes(b"no file")
+    foreign_file(root, "f", 1, {"FECHA": pa.array([datetime(1969, 12, 31, 23, 59, 59, 999999), None], pa.timestamp("ns"))})
+
+    audit = {r.SUCURSAL: r for r in run_silver(spark, root, rates_csv, silver_root).collect()}
+    assert {k: (r.status, r.reason, r.rows_in, r.rows_out) for k, r in audit.items()} == {
+        "a": ("ok", None, 1, 1),
+        "b": ("ok", None, 2, 2),
+        "San {J,*}": ("ok", None, 2, 1),
+        "c": ("failed", "unreadable_types: FECHA string", 2, 0),
+        "d": ("failed", "ambiguous_columns: fecha", 2, 0),
+        "e": ("failed", "unreadable_file: ArrowInvalid", None, 0),
+        "f": ("ok", None, 2, 2),
+    }
+    assert (audit["b"].unexpected, audit["San {J,*}"].unexpected, audit["a"].unexpected) == ("OBS", "LISTA", None)
+    assert (audit["b"].rows_without_rate, audit["San {J,*}"].rows_without_rate) == (0, 1)
+
+    silver = {(r.SUCURSAL, r.NUMERO_TICKET): r for r in read_layer(spark, silver_root, SILVER_STORED).collect()}
+    assert [silver["b", n].VALOR_ARTICULO for n in (1, 2)] == [5.0, 7.0]
+    assert [silver["b", n]._extra for n in (1, 2)] == [{"OBS": "x"}, None] and silver["a", 1]._extra == {"OBS": "own"}
+    one = silver["San {J,*}", 12]
+    assert (one.VALOR_ARTICULO, one.COSTO_ARTICULO, one.ID_ARTICULO, one.DESC_ARTICULO, one.DESC_RUBRO) == (2.5, 1.0, 1, "pan", None)
+    assert (one.FECHA, one._extra) == (datetime(2024, 2, 5), {"LISTA": "[1, 2]"})
+    moments = sorted((r.FECHA for (k, _), r in silver.items() if k == "f"), key=str)
+    assert moments == [datetime(1969, 12, 31, 23, 59, 59, 999999), None]
+    assert {r.status for r in run_gold(spark, silver_root, gold_root).collect()} == {"ok"}
+
+
+def test_silver_by_another_writer(spark, rates_csv, tmp_path):
+    """Text and whole numbers in silver become its numbers; what is missing stays missing."""
+    root, silver_root, gold_root = (str(tmp_path / n) for n in ("layer", "silver", "gold"))
+    write_layer(bronze_row(spark, "a", 1).unionByName(bronze_row(spark, "b", 2)), root)
+    run_silver(spark, root, rates_csv, silver_root)
+    silver = stage(read_layer(spark, silver_root, SILVER))
+    text = silver.where("SUCURSAL = 'b'").withColumns({c: F.col(c).cast("string") for c in ("VENTA_ARS", "VENTA_USD", "CANTIDAD_VENDIDA")})
+    write_layer(text.withColumn("DIA_MES", F.col("DIA_MES").cast("int")), silver_root)
+    got = {r.SUCURSAL: r for r in read_any_layer(spark, silver_root, SILVER).collect()}
+    assert {k: tuple(r) for k, r in got.items()} == {r.SUCURSAL: tuple(r) for r in silver.collect()}
+    assert got["b"].VENTA_USD is None and got["b"].VENTA_ARS == 1.0
+    assert {r.status for r in run_gold(spark, silver_root, gold_root).collect()} == {"ok"}
+
+
+def test_no_accepted_file(spark, rates_csv, tmp_path):
+    foreign_file(tmp_path / "layer", "c", 1, {"FECHA": ["2024-01-05"] * 2})
+    (row,) = run_silver(spark, str(tmp_path / "layer"), rates_csv, str(tmp_path / "silver")).collect()
+    assert (row.status, row.rows_in, row.rows_out) == ("failed", 2, 0)
 
 
 def test_extra_columns_reach_silver(spark, rates_csv, tmp_path):
@@ -237,7 +329,7 @@ def test_extra_columns_reach_silver(spark, rates_csv, tmp_path):
     write_layer(noted.withColumn("OTRA", F.lit(1)), root)
     (row,) = run_silver(spark, root, rates_csv, silver_root).collect()
     assert row.unexpected == "OTRA"
-    assert [r._extra for r in read_layer(spark, silver_root, SILVER_STORED).collect()] == [{"OBS": "x"}]
+    assert [r._extra for r in read_layer(spark, silver_root, SILVER_STORED).collect()] == [{"OBS": "x", "OTRA": "1"}]
 
 
 def test_one_file_without_a_required_column_is_left_out(spark, rates_csv, tmp_path):
@@ -278,12 +370,17 @@ def test_rates_file(spark, rates_csv, tmp_path):
 def test_catalog_tables(spark, rates_csv, tmp_path):
     root = str(tmp_path / "layer")
     write_layer(bronze_row(spark, "007", 1), root)
-    table = register_table(spark, "test_bronze", "ventas", BRONZE_STORED, root)
+    table = register_table(spark, "test_bronze", "ventas", BRONZE_STORED, root, repair=False)
+    assert spark.table(table).count() == 0
+    repair_partitions(spark, table)
     row = preview(spark, table).first()
     assert (row.sucursal, row.year, row.month, row.CANTIDAD_VENDIDA) == ("007", 2024, 1, "1")
-    write_layer(bronze_row(spark, "008", 1), root)
+    write_layer(bronze_row(spark, "008", 1, "7"), root)
+    assert spark.table(table).count() == 1
     repair_partitions(spark, table)
     assert spark.table(table).count() == 2
+    top = preview(spark, table, 1, [F.col("CANTIDAD_VENDIDA").desc()]).collect()
+    assert [(r.sucursal, r.CANTIDAD_VENDIDA) for r in top] == [("008", "7")]
     register_table(spark, "test_bronze", "ventas", BRONZE_STORED, root)
     assert spark.table(table).count() == 2
     create_database(spark, "test_reference")
