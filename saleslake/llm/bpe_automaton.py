@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from saleslake.llm import arrays, pretokens
+from saleslake.llm.tables import free_names
 from saleslake.llm.vocabulary import Vocabulary, read_vocabulary
 
 
@@ -209,12 +210,10 @@ def decode_ids(a: Automaton, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 
 def _extended(df: DataFrame, *fields: tuple[str, T.DataType]) -> T.StructType:
-    schema = T.StructType(list(df.schema.fields))
-    for name, kind in fields:
-        if name in df.columns:
-            raise ValueError(f"column {name} exists already")
-        schema = schema.add(name, kind)
-    return schema
+    """Schema with further columns, under free names."""
+    names = free_names(df, *(name for name, _ in fields))
+    added = [T.StructField(name, kind) for name, (_, kind) in zip(names, fields, strict=True)]
+    return T.StructType([*df.schema.fields, *added])
 
 
 def encode(

@@ -18,10 +18,13 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from saleslake.llm.tables import drop, free_names, stored
+
 WINDOW = 13
 ITEM_BLOCK_BYTES = 2_000_000  # item text searched for at once
 
@@ -124,39 +127,46 @@ def find_items(
     window: int = WINDOW,
     block_bytes: int = ITEM_BLOCK_BYTES,
 ) -> DataFrame:
-    """Add ``n_words``, ``hits`` (runs of hit words), ``n_hit`` and ``item_ids`` (sorted as text)."""
-    for name in ("n_words", "hits", "n_hit", "item_ids"):
-        if name in documents.columns:
-            raise ValueError(f"column {name} exists already")
+    """Add ``n_words``, ``hits`` (runs of hit words), ``item_ids`` (sorted as text) and ``n_hit``, under free names.
+
+    With several blocks of items the documents are written with their hits after each but the last,
+    so that no task ever holds more than one block's patterns.
+    """
+    added = free_names(documents, "n_words", "hits", "item_ids", "n_hit")
     named = items.select(F.col(item_id).cast("string").alias("name"), F.col(item_text).alias("words"))
     size = named.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
     ids = T.ArrayType(T.StringType())
     found = documents.select(
         "*",
-        F.lit(0).cast("long").alias("n_words"),
-        F.array().cast(HITS).alias("hits"),
-        F.array().cast(ids).alias("item_ids"),
+        F.lit(0).cast("long").alias(added[0]),
+        F.array().cast(HITS).alias(added[1]),
+        F.array().cast(ids).alias(added[2]),
     )
     for block in range(blocks):
         mine = named.where(F.pmod(F.xxhash64("name", "words"), F.lit(blocks)) == block)
-        patterns = Patterns([(r.name, r.words) for r in mine.toLocalIterator()], window)
-        found = _search(found, text, patterns)
-    hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, run: n + run["after"] - run["first"])
-    return found.withColumn("n_hit", hit).withColumn("item_ids", F.array_sort("item_ids"))
-
-
-def _search(found: DataFrame, text: str, patterns: Patterns) -> DataFrame:
-    shared = found.sparkSession.sparkContext.broadcast(patterns)
+        shared = documents.sparkSession.sparkContext.broadcast(Patterns([(r.name, r.words) for r in mine.toLocalIterator()], window))
+        before, found = found, _search(found, text, shared)
+        if block + 1 < blocks:
+            found = stored(found)
+            shared.destroy()
+            if block:
+                drop(before)
+    hit = F.aggregate(added[1], F.lit(0).cast("long"), lambda n, run: n + run["after"] - run["first"])
+    return found.withColumn(added[3], hit).withColumn(added[2], F.array_sort(added[2]))
+
+
+def _search(found: DataFrame, text: str, shared: Broadcast) -> DataFrame:
     names = found.columns
-    at_words, at_hits, at_ids = (names.index(c) for c in ("n_words", "hits", "item_ids"))
+    at_text = names.index(text)
+    at_words, at_hits, at_ids = range(len(names) - 3, len(names))
     hit_type = pa.list_(pa.struct([("first", pa.int64()), ("after", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = shared.value
         for batch in batches:
             counts, hits, ids = [], batch.column(at_hits).to_pylist(), batch.column(at_ids).to_pylist()
-            for i, value in enumerate(batch.column(text)):
+            for i, value in enumerate(batch.column(at_text)):
                 words = word_list(value.as_py())
                 counts.append(len(words))
                 runs, items = patterns.find(words)

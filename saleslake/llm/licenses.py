@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleslake.llm import bitmaps
-from saleslake.llm.tables import stored
+from saleslake.llm.tables import free_names, stored
 
 THRESHOLD = 0.6
 LICENCE_NAMES = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)[^/]*$"
@@ -168,13 +168,11 @@ def candidates(keyed: DataFrame, matcher: Broadcast, threshold: float) -> DataFr
 def own_licences(
     files: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """Add ``own_licence`` and ``similarity``.
+    """Add ``own_licence`` and ``similarity``, under free names.
 
     Equal texts are one until the last join. Only texts that may have a licence are joined.
     """
-    for name in ("own_licence", "similarity"):
-        if name in files.columns:
-            raise ValueError(f"column {name} exists already")
+    licence_name, similarity_name = free_names(files, "own_licence", "similarity")
     spark = files.sparkSession
     frequencies = stored(document_frequencies(files, text))
     known = F.col("word").isNull() | F.col("word").isin(*vocabulary(templates))
@@ -209,29 +207,32 @@ def own_licences(
     whole = flagged.where("NOT _maybe").select("_row", F.lit(None).cast(found.schema["_best"].dataType).alias("_best"))
     return touched.unionByName(whole).select(
         *[F.col(f"_row.own.`{c}`") for c in files.columns],
-        F.col("_best.name").alias("own_licence"),
-        F.coalesce("_best.cosine", F.lit(0.0)).alias("similarity"),
+        F.col("_best.name").alias(licence_name),
+        F.coalesce("_best.cosine", F.lit(0.0)).alias(similarity_name),
     )
 
 
-def inherit(files: DataFrame, any_file: bool = False) -> DataFrame:
-    """Add ``licence`` and ``licence_from`` (a path) to files with path, own_licence and similarity.
+def inherit(
+    files: DataFrame, any_file: bool = False, own_licence: str = "own_licence", similarity: str = "similarity"
+) -> DataFrame:
+    """Add ``licence`` and ``licence_from`` (a path), under free names, to files with path, own_licence and similarity.
 
     Directories are resolved once each, so a directory with very many files is one row until the last join.
     """
     own = [F.col(f"`{c}`") for c in files.columns]
+    licence_name, giver_name = free_names(files, "licence", "licence_from")
     parts = F.split("path", "/")
     directory = F.when(F.col("path").isNotNull(), F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/"))
     placed = files.select(F.struct(*own).alias("row"), directory.alias("dir"))
-    giving = F.col("row.own_licence").isNotNull() & (F.lit(any_file) | F.col("row.path").rlike(LICENCE_NAMES))
-    rank = F.struct((-F.col("row.similarity")).alias("s"), F.col("row.path").alias("path"))
+    giving = F.col(f"row.`{own_licence}`").isNotNull() & (F.lit(any_file) | F.col("row.path").rlike(LICENCE_NAMES))
+    rank = F.struct((-F.col(f"row.`{similarity}`")).alias("s"), F.col("row.path").alias("path"))
     holders = (
         placed.where(giving & F.col("dir").isNotNull())
         .groupBy("dir")
-        .agg(F.min(F.struct(rank.alias("rank"), F.col("row.own_licence").alias("licence"))).alias("best"))
+        .agg(F.min(F.struct(rank.alias("rank"), F.col(f"row.`{own_licence}`").alias("licence"))).alias("best"))
         .select(F.col("dir").alias("above"), F.col("best.licence").alias("given"), F.col("best.rank.path").alias("giver"))
     )
-    dirs = placed.where(F.col("row.own_licence").isNull() & F.col("dir").isNotNull()).select("dir").distinct()
+    dirs = placed.where(F.col(f"row.`{own_licence}`").isNull() & F.col("dir").isNotNull()).select("dir").distinct()
     steps = F.when(F.col("dir") == "", F.array().cast("array<string>")).otherwise(F.split("dir", "/"))
     chain = dirs.select(
         "dir",
@@ -243,10 +244,10 @@ def inherit(files: DataFrame, any_file: bool = False) -> DataFrame:
         .agg(F.max_by(F.struct("given", "giver"), "depth").alias("found"))
         .select(F.col("dir").alias("of_dir"), "found")
     )
-    open_ = F.when(F.col("row.own_licence").isNull(), F.col("dir"))
+    open_ = F.when(F.col(f"row.`{own_licence}`").isNull(), F.col("dir"))
     joined = placed.join(nearest, open_ == F.col("of_dir"), "left")
     return joined.select(
         "row.*",
-        F.coalesce("row.own_licence", "found.given").alias("licence"),
-        F.when(F.col("row.own_licence").isNotNull(), F.col("row.path")).otherwise(F.col("found.giver")).alias("licence_from"),
+        F.coalesce(f"row.`{own_licence}`", "found.given").alias(licence_name),
+        F.when(F.col(f"row.`{own_licence}`").isNotNull(), F.col("row.path")).otherwise(F.col("found.giver")).alias(giver_name),
     )

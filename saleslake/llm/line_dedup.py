@@ -7,13 +7,14 @@ a parity filter (64 parity bits bound the symmetric difference from below), and
 their full sets. A line goes if an earlier line (smaller doc_id, then smaller line number) is
 similar to it; lines are judged on the input, not on what is left.
 
-Equal sets are one class with one posting per word, however many lines it has. Rarity comes from
-counts of all words in ``SLOTS`` slots by hash, a table of a fixed size; words in one slot are
-ordered by hash, so the order is total and the join exact whatever the collisions.
+Equal sets, told by two hashes of 64 bits, are one class with one posting per word, however many lines
+it has. Rarity comes from counts of all words in ``SLOTS`` slots by hash, a table of a fixed size; words
+in one slot are ordered by hash, so the order is total, the same in all tasks, and the join exact
+whatever the collisions.
 
 Lines without words always stay; a ``min_words`` above 1 also keeps those of fewer different words. Null texts stay null, empty ones
 empty; rows without doc_id have no place in the order and keep all lines. Rows that repeat a doc_id
-have equal places, so none of them is earlier. Words: A-Z in lower case, runs without white space.
+have equal places, so none of them is earlier; each loses the lines of its own text only. Words: A-Z in lower case, runs without white space.
 """
 
 from collections.abc import Iterator
@@ -28,9 +29,10 @@ from pyspark.sql import types as T
 from saleslake.llm import arrays, bitmaps
 from saleslake.llm.quality_crf import split_lines
 from saleslake.llm.shingles import LOWER, word_hashes
-from saleslake.llm.tables import drop, stored
+from saleslake.llm.tables import drop, free_names, stored
 
 SLOTS = 1 << 18
+CLASS = ["class", "class2"]  # the two hashes of a set of words
 
 
 @dataclass(frozen=True)
@@ -76,11 +78,7 @@ def line_sets(data: np.ndarray, offsets: np.ndarray, ranks: np.ndarray):
     hashes, at = word_hashes(LOWER[data], np.append(starts, len(data)))
     line = np.repeat(np.arange(len(starts)), np.diff(at))
     rank = ranks[_slot(hashes)].astype(np.uint64)
-    packed = (line.astype(np.uint64) << np.uint64(42)) | (rank << np.uint64(24)) | (hashes & np.uint64((1 << 24) - 1))
-    if len(starts) >= 1 << 22:
-        order = np.lexsort((hashes, rank, line))
-    else:
-        order = np.argsort(packed)
+    order = np.lexsort((hashes, (line.astype(np.uint64) << np.uint64(18)) | rank))
     hashes, line = hashes[order], line[order]
     fresh = np.ones(len(hashes), bool)
     fresh[1:] = (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])
@@ -88,8 +86,12 @@ def line_sets(data: np.ndarray, offsets: np.ndarray, ranks: np.ndarray):
     return hashes, np.searchsorted(line, np.arange(len(starts) + 1)), first
 
 
-def _class(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(arrays.mix(hashes + np.uint64(1)), dtype=np.uint64)])
+_SECOND = np.uint64(0xA0761D6478BD642F)
+
+
+def _class(hashes: np.ndarray, at: np.ndarray, salt: np.uint64 = np.uint64(0)) -> np.ndarray:  # noqa: B008
+    """Hash of each set of words; another salt gives another hash."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(arrays.mix((hashes ^ salt) + np.uint64(1)), dtype=np.uint64)])
     return arrays.mix(sums[at[1:]] - sums[at[:-1]] + np.diff(at).astype(np.uint64)).view(np.int64)
 
 
@@ -101,8 +103,10 @@ def _parity(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
 LINES = (
     T.StructType()
     .add("doc_id", T.LongType())
+    .add("text_id", T.LongType())
     .add("line", T.LongType())
     .add("class", T.LongType())
+    .add("class2", T.LongType())
     .add("size", T.LongType())
     .add("parity", T.LongType())
     .add("prefix", T.ArrayType(T.LongType()))
@@ -115,7 +119,7 @@ def line_table(docs: DataFrame, ranks, similarity: Similarity) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = arrays.text_bytes(batch.column("text"))
-            ids = batch.column("doc_id").to_numpy()
+            ids, text_ids = batch.column("doc_id").to_numpy(), batch.column("text_id").to_numpy()
             for low, high in arrays.slices(offsets):
                 part = data[offsets[low] : offsets[high]]
                 hashes, at, first = line_sets(part, offsets[low : high + 1] - offsets[low], ranks.value)
@@ -125,10 +129,11 @@ def line_table(docs: DataFrame, ranks, similarity: Similarity) -> DataFrame:
                 count = similarity.prefix(size[used])
                 prefix = hashes[arrays.ragged_index(at[:-1][used], count)].view(np.int64)
                 listed = pa.ListArray.from_arrays(pa.array(arrays.offsets_of(count), pa.int32()), pa.array(prefix))
-                plain = [ids[low + owner], used - first[owner], _class(hashes, at)[used], size[used], _parity(hashes, at)[used]]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, plain), listed], names=LINES.names)
+                place = [ids[low + owner], text_ids[low + owner], used - first[owner]]
+                sets = [_class(hashes, at)[used], _class(hashes, at, _SECOND)[used], size[used], _parity(hashes, at)[used]]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, place + sets), listed], names=LINES.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, LINES)
+    return docs.select("doc_id", F.xxhash64("text").alias("text_id"), "text").mapInArrow(run, LINES)
 
 
 def candidates(lines: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
@@ -136,12 +141,13 @@ def candidates(lines: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame
 
     Only the first line of each class has postings, and only where its size lets a different set be
     similar: of n words, at best n + 1 with all n in common. Both sides of the join are one shuffle.
+    Postings carry the first hash of a class only: where two classes share it, there are more candidates.
     The positional filter implies the shorter prefix of the smaller side.
     """
-    first = classes.select("class", "place.*")
+    first = classes.select(*CLASS, "place.*")
     words = (
         lines.where(s.den * F.col("size") >= s.num * (F.col("size") + 1))
-        .join(first, ["class", "doc_id", "line"])
+        .join(first, [*CLASS, "doc_id", "line"])
         .select("class", "size", "parity", F.posexplode("prefix").alias("at", "word"))
         .select(
             F.col("word").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("word"),  # half of the hash: words that collide only make more candidates
@@ -175,7 +181,7 @@ def _full_sets(docs: DataFrame, places: DataFrame, similarity: Similarity) -> Da
     spark = docs.sparkSession
     bits = spark.sparkContext.broadcast(bitmaps.bitmap(places, "doc_id"))
     class_bits = spark.sparkContext.broadcast(bitmaps.bitmap(places, "class"))
-    schema = T.StructType().add("doc_id", T.LongType()).add("line", T.LongType()).add("words", T.ArrayType(T.LongType()))
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "line", *CLASS)]).add("words", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = np.arange(SLOTS)  # the order is of no account here
@@ -186,27 +192,26 @@ def _full_sets(docs: DataFrame, places: DataFrame, similarity: Similarity) -> Da
             for low, high in arrays.slices(offsets):
                 part = data[offsets[low] : offsets[high]]
                 hashes, at, first = line_sets(part, offsets[low : high + 1] - offsets[low], ranks)
-                size = np.diff(at)
-                wanted = bitmaps.contains(class_bits.value, _class(hashes, at))
+                size, sets = np.diff(at), _class(hashes, at)
+                wanted = bitmaps.contains(class_bits.value, sets)
                 used = np.flatnonzero((size >= similarity.min_words) & wanted)
                 owner = np.repeat(np.arange(high - low), np.diff(first))[used]
                 flat = hashes[arrays.ragged_index(at[:-1][used], size[used])].view(np.int64)
                 listed = pa.ListArray.from_arrays(pa.array(arrays.offsets_of(size[used]), pa.int32()), pa.array(flat))
-                plain = [pa.array(ids[low + owner]), pa.array(used - first[owner])]
-                yield pa.RecordBatch.from_arrays([*plain, listed], names=schema.names)
+                plain = [ids[low + owner], used - first[owner], sets[used], _class(hashes, at, _SECOND)[used]]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, plain), listed], names=schema.names)
 
     found = docs.select("doc_id", "text").mapInArrow(run, schema)
-    named = found.join(places, ["doc_id", "line"])
-    return named.select("class", F.struct("doc_id", "line").alias("place"), "words").dropDuplicates(["class"])
+    return found.join(places, ["doc_id", "line", *CLASS]).select(F.struct(*CLASS).alias("set"), "words").dropDuplicates(["set"])
 
 
 def _similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
     """Classes ``later`` of those pairs (later, earlier) that are similar, from their full sets."""
-    wanted = pairs.selectExpr("later AS class").unionByName(pairs.selectExpr("earlier AS class")).distinct()
-    places = stored(classes.join(wanted, "class", "left_semi").select("class", "place.*"))
+    wanted = pairs.selectExpr("later.*").unionByName(pairs.selectExpr("earlier.*")).distinct()
+    places = stored(classes.join(wanted, CLASS, "left_semi").select(*CLASS, "place.*"))
     sets = stored(_full_sets(docs, places, s))
-    one = sets.select(F.col("class").alias("later"), F.col("words").alias("words_a"))
-    two = sets.select(F.col("class").alias("earlier"), F.col("words").alias("words_b"))
+    one = sets.select(F.col("set").alias("later"), F.col("words").alias("words_a"))
+    two = sets.select(F.col("set").alias("earlier"), F.col("words").alias("words_b"))
     both = pairs.select("later", "earlier").join(one, "later").join(two, "earlier")
     common = F.size(F.array_intersect("words_a", "words_b"))
     links = both.where(s.den * common >= s.num * (F.size("words_a") + F.size("words_b") - common))
@@ -221,55 +226,60 @@ def later_classes(docs: DataFrame, pairs: DataFrame, classes: DataFrame, s: Simi
     One such class is enough. So every class is first compared with the candidate that shares
     most words of the prefixes, and only those that aren't similar to it with all the others.
     """
-    place = lambda n: classes.select(F.col("class").alias(n), F.col("place").alias(f"place_{n}"))
+    one = F.struct("place", F.struct(*CLASS).alias("set"))
+    place = lambda n: classes.select(F.col("class").alias(n), one.alias(f"one_{n}"))
     known = pairs.join(place("a"), "a").join(place("b"), "b")
-    first = F.col("place_a") < F.col("place_b")
-    later, earlier = F.when(first, F.col("b")).otherwise(F.col("a")), F.when(first, F.col("a")).otherwise(F.col("b"))
+    later, earlier = (F.greatest("one_a", "one_b")["set"], F.least("one_a", "one_b")["set"])
     oriented = stored(known.select(later.alias("later"), earlier.alias("earlier"), "n"))
     best = stored(oriented.groupBy("later").agg(F.max_by("earlier", F.struct("n", "earlier")).alias("earlier")))
     found = _similar(docs, best, classes, s)
     rest = stored(oriented.join(found, "later", "left_anti").join(best, ["later", "earlier"], "left_anti"))
     if not rest.isEmpty():
         found = found.unionByName(_similar(docs, rest, classes, s))
-    return found.withColumnRenamed("later", "class")
+    return found.select("later.*")
 
 
 def removed_lines(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:  # noqa: B008
-    """(doc_id, line) of every line with an earlier similar line; lines count from 0."""
+    """(doc_id, text_id, line) of every line with an earlier similar line; lines count from 0.
+
+    ``text_id`` is Spark's 64-bit hash of the text: it tells texts that share a doc_id apart.
+    """
     s, spark = similarity, docs.sparkSession
     docs = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ranks = spark.sparkContext.broadcast(slot_ranks(docs))
     lines = stored(line_table(docs, ranks, s))
     place = F.struct("doc_id", "line")
-    classes = stored(lines.groupBy("class").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n")))
+    classes = stored(lines.groupBy(*CLASS).agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n")))
     pairs = stored(candidates(lines, classes, s))
-    wide, lines = lines, stored(lines.select("class", "doc_id", "line"))
+    wide, lines = lines, stored(lines.select(*CLASS, "doc_id", "text_id", "line"))
     drop(wide)
     later = stored(later_classes(docs, pairs, classes, s))
     # A class with an earlier similar one loses all lines, any other class all but its first.
     gone = later.withColumn("gone", F.lit(True))
-    marked = classes.join(gone, "class", "left").where("n > 1 OR gone").select("class", F.col("place").alias("first_place"), "gone")
-    judged = lines.join(marked, "class")
-    return judged.where(F.col("gone") | (place > F.col("first_place"))).select("doc_id", "line")
+    marked = classes.join(gone, CLASS, "left").where("n > 1 OR gone").select(*CLASS, F.col("place").alias("first_place"), "gone")
+    judged = lines.join(marked, CLASS)
+    return judged.where(F.col("gone") | (place > F.col("first_place"))).select("doc_id", "text_id", "line")
 
 
 def dedup_lines(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:  # noqa: B008
-    """All rows with ``text`` without the removed lines, and ``n_lines``, ``n_removed``.
+    """All rows with ``text`` without the removed lines, and ``n_lines``, ``n_removed`` under free names.
 
     Only documents that may have lost lines are joined with their losses.
     """
-    for name in ("n_lines", "n_removed"):
-        if name in docs.columns:
-            raise ValueError(f"column {name} exists already")
-    per_doc = removed_lines(docs, similarity).groupBy("doc_id").agg(F.collect_set("line").alias("_lost"))
-    lost = stored(per_doc.withColumnRenamed("doc_id", "_id"))
+    names = free_names(docs, "n_lines", "n_removed")
+    per_text = removed_lines(docs, similarity).groupBy(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text"))
+    lost = stored(per_text.agg(F.collect_set(F.col("line").cast("int")).alias("_lost")))
     flagged = bitmaps.flagged(docs, "doc_id", lost, "_id")
-    touched = flagged.where("_maybe").join(lost, F.col("_row.doc_id") == F.col("_id"), "left")
-    whole = flagged.where("NOT _maybe").select("_row", F.lit(None).cast("array<bigint>").alias("_lost"))
+    same = (F.col("_row.doc_id") == F.col("_id")) & (F.xxhash64("_row.text") == F.col("_text"))
+    touched = flagged.where("_maybe").join(lost, same, "left")
+    whole = flagged.where("NOT _maybe").select("_row", F.lit(None).cast("array<int>").alias("_lost"))
     both = touched.select("_row", "_lost").unionByName(whole)
     parts = F.split(F.coalesce("_row.text", F.lit("")), "\n", -1)
-    kept = F.filter(parts, lambda x, i: ~F.array_contains("_lost", i.cast("long")))
+    # A set difference, not a search in the lost lines for every line.
+    places = F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), "_lost")
+    kept = F.transform(places, lambda i: F.get("_parts", i))
     text = F.when(F.col("_lost").isNull(), F.col("_row.text")).otherwise(F.array_join(kept, "\n"))
     removed = F.when(F.col("_lost").isNull(), F.lit(0)).otherwise(F.size("_lost")).cast("long")
     columns = [text.alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns]
-    return both.select(*columns, F.size(parts).cast("long").alias("n_lines"), removed.alias("n_removed"))
+    split = both.withColumn("_parts", parts)
+    return split.select(*columns, F.size("_parts").cast("long").alias(names[0]), removed.alias(names[1]))

@@ -6,7 +6,7 @@ probability of each line, by the forward-backward recursion, is averaged with th
 lines as weights, and a logistic curve maps that average to the score of the document.
 
 Training takes at most ``SAMPLE_ROWS`` labelled documents of each label, the first by a hash of
-their id, with texts of at most ``SAMPLE_TEXT_BYTES`` bytes; every line has the label of its document.
+their id, with their whole texts; every line has the label of its document.
 Scoring covers all lines of all texts. Only the text goes into a score.
 
 A null text is an empty one: one line without words. Without labelled rows of both kinds every
@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleslake.llm import arrays
+from saleslake.llm.tables import free_names
 
 SAMPLE_ROWS = 1000
-SAMPLE_TEXT_BYTES = 100_000
 ROUNDS = 120
 RATE = 0.15
 PENALTY = 1e-3
@@ -213,25 +213,27 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def fit(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
-    """Train on documents (doc_id, text) with labels (doc_id, quality)."""
+    """Train on documents (doc_id, text) with labels (doc_id, quality): at most ``rows`` of each label, whole texts.
+
+    An id whose labels contradict each other has none. Of documents that repeat an id the smallest
+    text counts, a null one as empty. So the same tables give the same model, whatever their order.
+    """
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).where(~held_out())
+    agreed = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("_other"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    halves = [usable.where(F.col("quality") == q).select("doc_id", "quality").distinct().orderBy(*order).limit(rows) for q in (0, 1)]
+    clear = agreed.where("quality = _other").drop("_other")
+    halves = [clear.where(F.col("quality") == q).orderBy(*order).limit(rows) for q in (0, 1)]
     chosen = halves[0].unionByName(halves[1])  # at most twice ``rows`` small rows
-    texts = documents.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_TEXT_BYTES)
-    sample = texts.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    found = sorted(sample.limit(2 * rows).collect(), key=lambda r: r.doc_id)
+    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    sample = texts.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    found = sorted(sample.collect(), key=lambda r: r.doc_id)
     return train([r.text or "" for r in found], [r.quality for r in found])
 
 
 def score(df: DataFrame, model: Model, text: str = "text", name: str = "score", lines: str | None = None) -> DataFrame:
-    """Add the score of each text, and on request the marginals of its lines."""
-    added = [T.StructField(name, T.DoubleType())]
-    if lines:
-        added.append(T.StructField(lines, T.ArrayType(T.DoubleType())))
-    clash = [f.name for f in added if f.name in df.columns]
-    if clash:
-        raise ValueError(f"columns exist already: {clash}")
+    """Add the score of each text, and on request the marginals of its lines, under free names."""
+    names = free_names(df, name, *([lines] if lines else []))
+    added = [T.StructField(n, kind) for n, kind in zip(names, (T.DoubleType(), T.ArrayType(T.DoubleType())), strict=False)]
     schema = T.StructType([*df.schema.fields, *added])
     shared = df.sparkSession.sparkContext.broadcast(model)
 

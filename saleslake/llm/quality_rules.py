@@ -12,6 +12,8 @@ judged alike. Windows are found by sorting those of one text, without a shuffle.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from saleslake.llm.tables import free_names
+
 # Fixed values of the rules.
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -57,9 +59,6 @@ def line_fails(line: Column) -> Column:
 
 def apply_rules(df: DataFrame, text: str = "text") -> DataFrame:
     """Add the counts, the verdicts and the cleaned text."""
-    clash = [c for c in ADDED if c in df.columns]
-    if clash:
-        raise ValueError(f"columns exist already: {clash}")
     # The input row travels as one struct, so no name of it can clash with a column of a step.
     row = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
     value = F.coalesce(F.col(f"_row.`{text}`"), F.lit(""))
@@ -103,4 +102,4 @@ def apply_rules(df: DataFrame, text: str = "text") -> DataFrame:
     judged = counted.withColumns({"base_failed": failed, "lost_chars": lost.cast("long")})
     enough = 100 * F.col("lost_chars") <= MAX_LOST_PERCENT * F.col("word_chars")
     kept = judged.withColumn("kept", ~F.col("base_failed") & enough)
-    return kept.select("_row.*", *ADDED)
+    return kept.select("_row.*", *[F.col(c).alias(name) for c, name in zip(ADDED, free_names(df, *ADDED), strict=True)])

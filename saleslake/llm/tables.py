@@ -33,13 +33,21 @@ def drop(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def free_name(df: DataFrame, wanted: str) -> str:
-    """``wanted``, or where the table has such a column the first free name of wanted_1, wanted_2…
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for new columns: the wanted ones, or where the table has such a column the first free one of name_1, name_2…
 
     Letter case doesn't make two names different, as in Spark.
     """
-    taken, name, n = {c.lower() for c in df.columns}, wanted, 0
-    while name.lower() in taken:
-        n += 1
-        name = f"{wanted}_{n}"
-    return name
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        free, n = name, 0
+        while free.lower() in taken:
+            n += 1
+            free = f"{name}_{n}"
+        taken.add(free.lower())
+        found.append(free)
+    return found
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    return free_names(df, wanted)[0]

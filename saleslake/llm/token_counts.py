@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from saleslake.llm import arrays, pretokens
+from saleslake.llm.tables import free_name
 from saleslake.llm.vocabulary import read_vocabulary
 
 NO_PAIR = np.int32(2**31 - 1)
@@ -105,10 +106,8 @@ def count_slice(table: MergeTable, data: np.ndarray, offsets: np.ndarray) -> np.
 
 def count_tokens(df: DataFrame, vocabulary: str, text: str = "text", count: str = "n_tokens") -> DataFrame:
     """Add the number of tokens of a text column."""
-    if count in df.columns:
-        raise ValueError(f"column {count} exists already")
     shared = df.sparkSession.sparkContext.broadcast(merge_table(vocabulary))
-    schema = T.StructType([*df.schema.fields, T.StructField(count, T.LongType())])
+    schema = T.StructType([*df.schema.fields, T.StructField(free_name(df, count), T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value

@@ -42,7 +42,7 @@ def test_stages(spark):
     assert all(r.n_chars == len(r.text) for r in lines.values())
 
     ids = sorted(lines)
-    found = test_jaccard_join.brute([lines[i].text for i in ids], jaccard_join.Join())
+    found = test_jaccard_join.brute([lines[i].text for i in ids], p.NEAR)
     assert set(alone) == {ids[k] for k, _, root in found if root == k}
     assert all(alone[i] == lines[i] for i in alone)
 
@@ -73,6 +73,19 @@ def test_odd_rows(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_columns_of_clashing_names_travel_along(spark):
+    names = ["score", "n_lines", "n_removed", "_row", "_id", "n_words", "hits", "item_ids", "n_hit", "class", "component_id"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    line = "one two three four five six seven."
+    own = tuple(names)
+    docs = spark.createDataFrame([(1, f"{line}\nAnother line of some words.", "en", "s", 63, *own), (2, line, "en", "s", 34, *own)], schema)
+    for stage in (p.keep_good, p.drop_lines, p.one_of_each_group, p.decontaminate):
+        found = stage(spark, docs, SF)
+        assert found.columns == docs.columns
+        assert all(tuple(r)[5:] == own for r in found.collect())
+    assert [r.doc_id for r in p.drop_lines(spark, docs, SF).collect()] == [1]
+
+
 def test_near_copies_of_five_word_shingles_go(spark):
     """Two words of a hundred differ: 0.81 of the five-word shingles, 0.88 of the three-word ones."""
     base = [f"w{i}" for i in range(100)]

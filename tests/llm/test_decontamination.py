@@ -1,7 +1,6 @@
 import random
 import re
 
-import pytest
 from pyspark.sql import types as T
 
 from saleslake.llm import decontamination as d
@@ -56,8 +55,10 @@ def test_no_items_and_no_documents(spark):
     row = d.find_items(docs, items).collect()[0]
     assert (row.n_words, row.n_hit, row.item_ids, row.hits) == (2, 0, [], [])
     assert d.find_items(docs.limit(0), spark.createDataFrame([(1, "a")], items.schema)).count() == 0
-    with pytest.raises(ValueError, match="n_hit"):
-        d.find_items(docs.withColumnRenamed("item", "n_hit"), items)
+    clash = d.find_items(docs.withColumnsRenamed({"item": "N_Hit", "first": "hits"}), spark.createDataFrame([(1, "b")], items.schema))
+    assert clash.columns == ["doc_id", "text", "N_Hit", "hits", "n_words", "hits_1", "item_ids", "n_hit_1"]
+    row = clash.collect()[0]
+    assert (row.N_Hit, row.hits, row.n_words, row.n_hit_1, row.item_ids) == ("", 0, 2, 1, ["1"])
 
 
 def test_limit_is_one_word_in_twenty(spark):

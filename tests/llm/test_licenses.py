@@ -30,8 +30,12 @@ def test_own_and_inherited(spark):
         ]
     )
     assert lic.inherit(lic.own_licences(files.limit(0))).count() == 0
-    with pytest.raises(ValueError, match="similarity"):
-        lic.own_licences(files.withColumnRenamed("dir", "similarity"))
+    clash = files.withColumnRenamed("dir", "similarity").selectExpr("*", "1 AS licence")
+    own = lic.own_licences(clash)
+    assert own.columns == [*clash.columns, "own_licence", "similarity_1"]
+    found = lic.inherit(own, similarity="similarity_1")
+    assert found.columns == [*own.columns, "licence_1", "licence_from"]
+    assert Counter((r.path, r.own_licence, r.licence_1, r.licence_from) for r in found.collect()) == got
 
 
 def test_cosine():

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from saleslake.llm import line_dedup as d
@@ -65,8 +66,26 @@ def test_odd_rows(spark):
     got = d.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == [(3, line), (3, line), (9, "x"), (None, line)]
     assert d.dedup_lines(spark.createDataFrame([], SCHEMA)).count() == 0
-    with pytest.raises(ValueError, match="n_lines"):
-        d.dedup_lines(spark.createDataFrame(rows, SCHEMA.replace("class", "n_lines")))
+    clash = d.dedup_lines(spark.createDataFrame(rows, SCHEMA.replace("class", "n_lines").replace("word", "N_Removed_1")))
+    assert clash.columns == ["doc_id", "text", "N_Removed_1", "n_lines", "n_lines_1", "n_removed"]
+    assert sorted((r.n_lines, r.n_lines_1, r.n_removed) for r in clash.collect()) == [(0, 1, 0)] * 3 + [(0, 3, 2)]
+
+
+def test_rows_of_one_id_lose_their_own_lines_only(spark):
+    line, other = "the shared line of some words", "unique line of quite other words here"
+    rows = [(1, line), (5, line), (5, other), (5, f"{other}\n{line}"), (7, f"{line} \n{other}\nlast words of all")]
+    got = d.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r.doc_id, r.text, r.n_removed) for r in got) == [(1, line, 0), (5, "", 1), (5, other, 0), (5, other, 1), (7, "last words of all", 2)]
+
+
+def test_one_order_of_words_in_all_texts():
+    """Words of one slot keep their order, whatever the number of lines of a slice."""
+    ranks = np.zeros(d.SLOTS, np.int64)  # all words equally rare: the order is that of the hashes
+    text = " ".join(f"w{i}" for i in range(3000))
+    alone, _, _ = d.line_sets(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]), ranks)
+    data = f"{text}\n".encode() + b"\n" * (1 << 22)
+    many, at, _ = d.line_sets(np.frombuffer(data, np.uint8), np.array([0, len(data)]), ranks)
+    assert alone.tolist() == many[at[0] : at[1]].tolist()
 
 
 def test_short_lines_take_part(spark):

@@ -3,7 +3,6 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import pytest
 
 from saleslake.llm import arrays
 from saleslake.llm import quality_crf as q
@@ -61,5 +60,22 @@ def test_odd_rows(spark):
     rows = q.score(docs, model, lines="marginals").collect()
     assert [r.score for r in rows] == [0.5] * 4 and len(rows[2].marginals) == 50_001
     assert q.score(docs.limit(0), model).count() == 0
-    with pytest.raises(ValueError, match="weights"):
-        q.score(docs, model, name="weights")
+    clash = q.score(docs, model, name="weights")
+    assert clash.columns == [*docs.columns, "weights_1"] and [r.weights_1 for r in clash.collect()] == [0.5] * 4
+
+
+def test_training_rows_do_not_depend_on_the_order_of_rows(spark):
+    """Contradictory and repeated labels, and ids with several texts."""
+    good = [f"The {w} of the city was opened by the mayor in spring." for w in ("bridge", "school", "market", "garden", "library", "station")]
+    rows = [(i, good[i % 6] if i % 2 else "$$$ click here ### $$$") for i in range(0, 60)]
+    rows += [(5, "$$$ another text of the same id"), (7, None), (9, "x" * 300_000)]
+    labels = [(i, i % 2) for i in range(60)] + [(1, 1), (3, 0), (4, 1), (None, 1), (6, None), (8, 7)]
+    models = []
+    for order in (1, -1):
+        docs = spark.createDataFrame(rows[::order], "doc_id long, text string").repartition(3)
+        models.append(q.fit(docs, spark.createDataFrame(labels[::order], "doc_id long, quality int").repartition(2)))
+    one, two = models
+    assert (one.weights == two.weights).all() and (one.pairs == two.pairs).all() and one.slope == two.slope
+    clear = [x for x in labels if x[0] not in (3, 4)]
+    docs, table = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(clear, "doc_id long, quality int")
+    assert (q.fit(docs, table).weights == one.weights).all()  # contradictory labels count for nothing

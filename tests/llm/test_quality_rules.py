@@ -1,4 +1,3 @@
-import pytest
 
 from saleslake.llm import quality_rules as q
 
@@ -38,5 +37,7 @@ def test_empty_table_long_text_and_clash(spark):
     assert q.apply_rules(spark.createDataFrame([], "text string")).count() == 0
     (long,) = judge(spark, "\n".join(f"{PROSE} {i}." for i in range(5000)))
     assert long.n_words == 61 * 5000 and long.n_lines == 5000
-    with pytest.raises(ValueError, match="kept"):
-        q.apply_rules(spark.createDataFrame([("a", 1)], "text string, kept int"))
+    clash = q.apply_rules(spark.createDataFrame([("a", 1)], "text string, Kept int"))
+    assert clash.columns == ["text", "Kept", *[f"{c}_1" if c == "kept" else c for c in q.ADDED]]
+    (row,) = clash.collect()
+    assert (row.Kept, row.kept_1, row.n_words) == (1, False, 1)

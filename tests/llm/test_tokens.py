@@ -59,8 +59,12 @@ def test_ids_that_are_no_text(spark, library):
 def test_empty_tables_and_clashing_names(spark):
     empty = frame(spark, [])
     assert bpe_automaton.encode(empty, PATH).count() == token_counts.count_tokens(empty, PATH).count() == 0
-    with pytest.raises(ValueError, match="ids"):
-        bpe_automaton.encode(frame(spark, ["a"]).withColumnRenamed("doc_id", "ids"), PATH)
+    clash = frame(spark, ["a b"]).withColumnRenamed("doc_id", "ids").selectExpr("*", "7 AS n_tokens", "8 AS decoded")
+    encoded = bpe_automaton.encode(clash, PATH)
+    assert encoded.columns == [*clash.columns, "ids_1", "n_tokens_1"]
+    assert token_counts.count_tokens(clash, PATH).columns[-1] == "n_tokens_1"
+    (row,) = bpe_automaton.decode(encoded, PATH, ids="ids_1").collect()
+    assert (row.n_tokens, row.n_tokens_1, row.decoded, row.decoded_1) == (7, 2, 8, "a b")
     named = frame(spark, ["a b"]).withColumnsRenamed({"doc_id": "start"}).selectExpr("*", "1 AS end", "null AS state")
     assert token_counts.count_tokens(named, PATH).collect()[0].n_tokens == 2
 
