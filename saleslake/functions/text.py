@@ -20,6 +20,8 @@ WHITESPACE = "".join(
         0x3000,
     ]
 )
+# Characters outside of two ranges of plain letters, signs and the blank, which hold no other white space.
+NOT_PLAIN = r"[^\u0020-\u007e\u00a1-\u024f]"
 # Fixed value: what a workbook's name has in front of the branch.
 BRANCH_PREFIX = r"(?i)ventas[_\s-]*"
 # Fixed value: directory layout of one branch-month.

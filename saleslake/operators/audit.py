@@ -21,13 +21,17 @@ def load_audit(
 ) -> DataFrame:
     """Rows, rows failing each check, and the reason why a unit failed (null if it did not).
 
-    ``reason`` and ``notes`` are evaluated per row, the largest value of a unit is reported; partial
-    aggregation leaves one row per unit and task.
+    ``reason`` and ``notes`` are evaluated per row, the largest value of a unit is reported. The few
+    values that a unit has are keys of a plain count, so that partial aggregation needs no sort.
     """
-    counters = [F.count_if(F.coalesce(bad, F.lit(False))).alias(name) for name, bad in checks.items()]
-    remarks = [F.max(c).alias(name) for name, c in (notes or {}).items()]
-    audited = df.groupBy(*unit).agg(
-        F.count(F.lit(1)).alias("row_count"), *counters, *remarks, F.max(reason).alias("reason")
+    texts = (notes or {}) | {"reason": reason}
+    failing = [F.coalesce(bad, F.lit(False)).alias(name) for name, bad in checks.items()]
+    rows = df.select(*unit, *failing, *[c.alias(name) for name, c in texts.items()])
+    counters = [F.count_if(F.col(name)).alias(name) for name in checks]
+    counted = rows.groupBy(*unit, *texts).agg(F.count(F.lit(1)).alias("row_count"), *counters)
+    audited = counted.groupBy(*unit).agg(
+        *[F.sum(name).alias(name) for name in ("row_count", *checks)],
+        *[F.max(name).alias(name) for name in texts],
     )
     status = F.when(F.col("reason").isNull(), "ok").otherwise("failed")
     return audited.withColumn("status", status)
@@ -51,7 +55,7 @@ def raw_audit(raw: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFram
     """
     judged = with_contract(raw, RAW_REQUIRED)
     data_row = F.col("row_no") > 1
-    bad_date = data_row & to_ts(strip(cell("FECHA")), formats).isNull()
+    bad_date = data_row & to_ts(strip(cell("FECHA", RAW_REQUIRED.index("FECHA"))), formats).isNull()
     beyond = F.when(F.col("unexpected") != "", F.col("unexpected"))
     audited = load_audit(
         judged,

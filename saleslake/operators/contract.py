@@ -6,7 +6,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleslake.functions.text import strip
+from saleslake.functions.text import NOT_PLAIN, strip
+
+
+_BLANK = "\t"  # a mark for a blank name: no plain character
 
 
 class ContractError(ValueError):
@@ -52,54 +55,66 @@ def header_names(header: Column) -> Column:
     A blank header cell is named by its position, and a text that occurs again gets a running
     number, as the usual table readers do, before names are trimmed. Names that become equal only
     then stay equal.
+
+    Every row of a sheet has its header, so the common case has to be cheap: texts that differ, none of
+    them blank, with no white space but plain blanks.
     """
     texts = F.transform(header, lambda h, i: F.coalesce(h, F.concat(F.lit("Unnamed: "), i)))
+    before = lambda h, i: F.size(F.filter(F.slice(texts, F.lit(1), i), lambda x: x == h))
+    numbered = lambda h, i: F.when(before(h, i) > 0, F.concat(h, F.lit("."), before(h, i))).otherwise(h)
+    each = F.transform(F.transform(texts, numbered), lambda h: F.upper(strip(h)))
+    odd = F.array_join(header, " ", _BLANK).rlike(NOT_PLAIN)
+    plain = ~odd & (F.size(F.array_distinct(header)) == F.size(header))
+    return F.when(plain, F.transform(header, lambda h: F.upper(F.trim(h)))).otherwise(each)
 
-    def numbered(h: Column, i: Column) -> Column:
-        before = F.size(F.filter(F.slice(texts, F.lit(1), i), lambda x: x == h))
-        return F.when(before > 0, F.concat(h, F.lit("."), before)).otherwise(h)
 
-    once = F.size(F.array_distinct(texts)) == F.size(texts)
-    return F.transform(F.when(once, texts).otherwise(F.transform(texts, numbered)), lambda h: F.upper(strip(h)))
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Further columns that every row computes once: no filter on them is moved in front of them."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
 
 
 def with_contract(raw: DataFrame, required: Sequence[str]) -> DataFrame:
     """Raw sheet rows with ``names``, the ``missing`` and ``unexpected`` ones, and ``repeated``, by their own header.
 
-    A row without a header (an unreadable workbook or sheet) has nulls.
+    ``in_order`` tells a sheet that begins with the required columns in their order, as most do:
+    nothing has to be searched in it. A row without a header (an unreadable workbook or sheet) has nulls.
     """
-    named = raw.withColumn("names", header_names(F.col("header")))
-    return named.withColumns(
+    wanted = F.array(*[F.lit(c) for c in required])
+    in_order = F.slice("names", F.lit(1), F.lit(len(required))) == wanted
+    same = F.col("names") == wanted
+    return once(raw, names=header_names(F.col("header"))).withColumns(
         {
-            "missing": missing_names(F.col("names"), required),
-            "unexpected": unexpected_names(F.col("names"), required),
-            "repeated": F.size(F.array_distinct("names")) < F.size("header"),
+            "in_order": in_order,
+            "missing": F.when(in_order, "").otherwise(missing_names(F.col("names"), required)),
+            "unexpected": F.when(same, "").otherwise(unexpected_names(F.col("names"), required)),
+            "repeated": ~same & (F.size(F.array_distinct("names")) < F.size("header")),
         }
     )
 
 
-def cell(name: str | Column) -> Column:
-    """Cell of a named column in a raw row; null where the row is shorter or has no such column."""
-    return F.get("cells", (F.array_position("names", name) - 1).cast("int"))
+def cell(name: str | Column, place: int | None = None) -> Column:
+    """Cell of a named column in a raw row; null where the row is shorter or has no such column.
+
+    ``place`` is the column's own in a sheet that is in order.
+    """
+    found = F.get("cells", (F.array_position("names", name) - 1).cast("int"))
+    return found if place is None else F.when(F.col("in_order"), F.get("cells", F.lit(place))).otherwise(found)
 
 
 def contract_report(raw: DataFrame, required: Sequence[str], unit: Sequence[str] = ("path", "sheet")) -> DataFrame:
     """One row per unit of raw sheet rows: what its header lacks or has beyond the contract, and whether it is accepted.
 
-    All rows of a unit share one header, so the maximum is that header's report and the
-    aggregate shrinks to one row per unit before the shuffle. An unreadable unit has no header and is
-    not accepted.
+    All rows of a unit share one header, so its report is part of the key of a plain count, which
+    shrinks to about one row per unit before the shuffle. An unreadable unit has no header and is not
+    accepted.
     """
-    return (
-        with_contract(raw, required)
-        .groupBy(*unit)
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.max("missing").alias("missing"),
-            F.max("unexpected").alias("unexpected"),
-            F.max("error").alias("error"),
-            F.coalesce(F.every((F.col("missing") == "") & ~F.col("repeated") & F.col("error").isNull()), F.lit(False)).alias("accepted"),
-        )
+    report = ["missing", "unexpected", "repeated", "error"]
+    counted = with_contract(raw, required).groupBy(*unit, *report).agg(F.count(F.lit(1)).alias("n"))
+    good = (F.col("missing") == "") & ~F.col("repeated") & F.col("error").isNull()
+    return counted.groupBy(*unit).agg(
+        F.sum("n").alias("row_count"),
+        *[F.max(c).alias(c) for c in ("missing", "unexpected", "error")],
+        F.coalesce(F.every(good), F.lit(False)).alias("accepted"),
     )
 
 

@@ -28,7 +28,7 @@ def bronze_build(
     beyond = F.array_except("names", F.array(*[F.lit(c) for c in RAW_REQUIRED]))
     extra = F.map_from_entries(F.transform(beyond, lambda n: F.struct(n, strip(cell(n)))))
     cells = accepted.select(
-        *[cell(c).alias(c) for c in RAW_REQUIRED],
+        *[cell(c, i).alias(c) for i, c in enumerate(RAW_REQUIRED)],
         branch_from_path(F.col("path")).alias("SUCURSAL"),
         F.col("path").alias("_src_file"),
         F.col("sheet_no").alias("_src_sheet_no"),
