@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from xlsx import Date, write_workbook
 
+from saleslake.__main__ import main
 from saleslake.operators.contract import ContractError, contract_report, header_names
 from saleslake.plans.bronze import bronze_build
 from saleslake.plans.jobs import run_bronze, run_gold, run_silver
@@ -392,6 +393,15 @@ def test_catalog_tables(spark, rates_csv, tmp_path):
     ]
 
 
+def test_table_step(spark, rates_csv, tmp_path, monkeypatch, capsys):
+    write_layer(bronze_row(spark, "007", 1), str(tmp_path / "layer"))
+    for layer, root in (("bronze", tmp_path / "layer"), ("rates", Path(rates_csv).parent)):
+        monkeypatch.setattr("sys.argv", ["saleslake", "table", layer, str(root), "--database", "test_step", "--name", layer])
+        main()
+    assert "test_step.bronze" in capsys.readouterr().out
+    assert (spark.table("test_step.bronze").count(), spark.table("test_step.rates").count()) == (1, 3)
+
+
 def test_staging_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get(CHECKPOINT_DIR)
 
