@@ -3,12 +3,15 @@
 A line is the set of its words. Words are ordered by rarity, then by hash; two lines of similarity t
 share a word among the first |x| - ceil(t |x|) + 1 of each, and for the smaller of them a shorter
 prefix is enough. Pairs that share such a word pass the length filter, the positional filter and
-a parity filter (64 parity bits bound the symmetric difference from below), and are verified on
+a parity filter (128 parity bits bound the symmetric difference from below), and are verified on
 their full sets. A line goes if an earlier line (smaller doc_id, then smaller line number) is
 similar to it; lines are judged on the input, not on what is left.
 
 Equal sets, told by two hashes of 64 bits, are one class with one posting per word, however many lines
-it has. Rarity comes from counts of all words in ``SLOTS`` slots by hash, a table of a fixed size; words
+it has. One earlier similar class is enough, so large families are settled first by single
+comparisons: each class with the earliest one of the same ``near`` keys, which similar sets are
+likely to share. Classes that remain open are joined with all earlier ones on the words of their
+prefixes; the keys decide how much work is left to that join, not what it finds. Rarity comes from counts of all words in ``SLOTS`` slots by hash, a table of a fixed size; words
 in one slot are ordered by hash, so the order is total, the same in all tasks, and the join exact
 whatever the collisions.
 
@@ -22,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,9 +98,29 @@ def _class(hashes: np.ndarray, at: np.ndarray, salt: np.uint64 = np.uint64(0)) -
     return arrays.mix(sums[at[1:]] - sums[at[:-1]] + np.diff(at).astype(np.uint64)).view(np.int64)
 
 
-def _parity(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
-    bits = np.concatenate([np.zeros(1, np.uint64), np.bitwise_xor.accumulate(np.uint64(1) << (hashes & np.uint64(63)))])
-    return (bits[at[1:]] ^ bits[at[:-1]]).view(np.int64)
+PARITY = ["parity0", "parity1"]
+
+
+def _parities(hashes: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """128 bits by hash: whether a set has an odd number of words there."""
+    bit, half, found = np.uint64(1) << (hashes & np.uint64(63)), (hashes >> np.uint64(6)) & np.uint64(1), []
+    for k in range(len(PARITY)):
+        mine = np.where(half == k, bit, np.uint64(0))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.bitwise_xor.accumulate(mine)])
+        found.append((sums[at[1:]] ^ sums[at[:-1]]).view(np.int64))
+    return found
+
+
+NEAR = 3  # keys of a set; changes the work, not the result
+
+
+def _near(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``NEAR`` keys of each set that isn't empty, each of its least words by two random orders."""
+    starts = at[:-1][np.diff(at) > 0]
+    least = lambda k: np.minimum.reduceat(arrays.mix(hashes ^ np.uint64(k + 1) * _SECOND), starts)
+    if not len(starts):
+        return np.zeros((0, NEAR), np.int64)
+    return np.stack([arrays.mix(least(2 * k) + arrays.mix(least(2 * k + 1))) for k in range(NEAR)], axis=1).view(np.int64)
 
 
 LINES = (
@@ -108,13 +131,15 @@ LINES = (
     .add("class", T.LongType())
     .add("class2", T.LongType())
     .add("size", T.LongType())
-    .add("parity", T.LongType())
+    .add("parity0", T.LongType())
+    .add("parity1", T.LongType())
+    .add("near", T.ArrayType(T.LongType()))
     .add("prefix", T.ArrayType(T.LongType()))
 )
 
 
 def line_table(docs: DataFrame, ranks, similarity: Similarity) -> DataFrame:
-    """A row for every line that takes part: its place, class, size, parity bits and prefix."""
+    """A row for every line that takes part: its place, class, size, parity bits, near keys and prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,57 +149,94 @@ def line_table(docs: DataFrame, ranks, similarity: Similarity) -> DataFrame:
                 part = data[offsets[low] : offsets[high]]
                 hashes, at, first = line_sets(part, offsets[low : high + 1] - offsets[low], ranks.value)
                 size = np.diff(at)
-                used = np.flatnonzero(size >= similarity.min_words)
+                used = np.flatnonzero(size >= max(similarity.min_words, 1))
                 owner = np.repeat(np.arange(high - low), np.diff(first))[used]
+                near = _near(hashes, at)[(np.cumsum(size > 0) - 1)[used]]
+                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(used) + 1) * NEAR, pa.int32()), pa.array(near.reshape(-1)))
                 count = similarity.prefix(size[used])
                 prefix = hashes[arrays.ragged_index(at[:-1][used], count)].view(np.int64)
                 listed = pa.ListArray.from_arrays(pa.array(arrays.offsets_of(count), pa.int32()), pa.array(prefix))
                 place = [ids[low + owner], text_ids[low + owner], used - first[owner]]
-                sets = [_class(hashes, at)[used], _class(hashes, at, _SECOND)[used], size[used], _parity(hashes, at)[used]]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, place + sets), listed], names=LINES.names)
+                sets = [_class(hashes, at), _class(hashes, at, _SECOND), size, *_parities(hashes, at)]
+                plain = map(pa.array, place + [x[used] for x in sets])
+                yield pa.RecordBatch.from_arrays([*plain, keys, listed], names=LINES.names)
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_id"), "text").mapInArrow(run, LINES)
 
 
-def candidates(lines: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
-    """Pairs of classes (a, b) that pass all filters, a not the larger one, and their shared words ``n``.
+ID = ["doc_id", "who"]  # of a class: the document of its first line; the line's number and half of the set's hash
+
+
+def class_table(lines: DataFrame) -> DataFrame:
+    """A row for every class: its first line's place, its number of lines, and what the line table has of the set."""
+    first = F.min(F.struct("doc_id", "line", "size", *PARITY, "near", "prefix"))
+    grouped = lines.groupBy(*CLASS).agg(first.alias("first"), F.count(F.lit(1)).alias("n"))
+    who = F.col("line") * (1 << 32) + F.col("class").bitwiseAND(F.lit((1 << 32) - 1))
+    return grouped.select(*CLASS, "n", "first.*").withColumn("who", who)
+
+
+def _renamed(end: str, *names: str) -> list[Column]:
+    return [F.col(n).alias(f"{n}_{end}") for n in names]
+
 
-    Only the first line of each class has postings, and only where its size lets a different set be
-    similar: of n words, at best n + 1 with all n in common. Both sides of the join are one shuffle.
-    Postings carry the first hash of a class only: where two classes share it, there are more candidates.
-    The positional filter implies the shorter prefix of the smaller side.
+def _before(doc: Column, who: Column) -> Column:
+    """Whether the class y stands before a place; equal places have no order."""
+    line_y, line = F.shiftright("who_y", 32), F.shiftright(who, 32)
+    return (F.col("doc_id_y") < doc) | ((F.col("doc_id_y") == doc) & (line_y < line))
+
+
+def _may_be_similar(s: Similarity, size_x: Column, size_y: Column) -> Column:
+    """False for pairs that can't be similar by their sizes or by the parity bits in which they differ."""
+    apart = sum(F.bit_count(F.col(f"{p}_x").bitwiseXOR(F.col(f"{p}_y"))) for p in PARITY)
+    fits = s.den * F.least(size_x, size_y) >= s.num * F.greatest(size_x, size_y)
+    return fits & ((s.num + s.den) * apart <= (s.den - s.num) * (size_x + size_y))
+
+
+def _with_partners(classes: DataFrame, s: Similarity) -> DataFrame:
+    """Classes whose size lets a different set be similar: of n words, at best n + 1 with all n in common."""
+    return classes.where(s.den * F.col("size") >= s.num * (F.col("size") + 1))
+
+
+def first_candidates(classes: DataFrame, s: Similarity) -> DataFrame:
+    """Pairs of each class (x) with the earliest one (y) of each of its near keys."""
+    keyed = _with_partners(classes, s).select(*ID, F.explode("near").alias("key"))
+    least = F.min(F.struct(*ID)).alias("least")
+    hubs = keyed.groupBy("key").agg(least).select("key", *[F.col(f"least.{c}").alias(f"{c}_y") for c in ID])
+    mine = keyed.select("key", *_renamed("x", *ID))
+    return mine.join(hubs, "key").where(_before(F.col("doc_id_x"), F.col("who_x"))).drop("key").distinct()
+
+
+def candidates(classes: DataFrame, found: DataFrame, s: Similarity) -> DataFrame:
+    """Pairs of a class (x) that isn't among the found ones and an earlier one (y) that pass all filters.
+
+    Both sides of the join are one shuffle; so what is found has no place before it, instead of
+    being filtered away on one side. The positional filter implies the shorter prefix of the smaller set.
     """
-    first = classes.select(*CLASS, "place.*")
-    words = (
-        lines.where(s.den * F.col("size") >= s.num * (F.col("size") + 1))
-        .join(first, [*CLASS, "doc_id", "line"])
-        .select("class", "size", "parity", F.posexplode("prefix").alias("at", "word"))
-        .select(
-            F.col("word").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("word"),  # half of the hash: words that collide only make more candidates
-            "class",
-            "parity",
-            (F.col("size") * (1 << 32) + F.col("at")).alias("both"),
-        )
+    marked = _with_partners(classes, s).join(found.withColumn("found", F.lit(True)), CLASS, "left")
+    words = marked.select(
+        "found", *ID, *PARITY, "size", F.posexplode("prefix").alias("at", "word")
+    ).select(
+        F.col("word").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("word"),  # half of the hash: words that collide only make more candidates
+        *ID,
+        *PARITY,
+        (F.col("size") * (1 << 32) + F.col("at") * 2 + F.col("found").isNull().cast("int")).alias("both"),
     )
-    x, y = (words.select("word", *[F.col(c).alias(f"{c}_{n}") for c in ("class", "parity", "both")]) for n in "ab")
-    (size_a, at_a), (size_b, at_b) = (
-        (F.shiftright(f"both_{n}", 32), F.col(f"both_{n}").bitwiseAND(F.lit((1 << 32) - 1))) for n in "ab"
+    x, y = (words.select("word", *_renamed(n, *ID, *PARITY, "both")) for n in "xy")
+    (size_x, at_x), (size_y, at_y) = (
+        (F.shiftright(f"both_{n}", 32), F.shiftright(F.col(f"both_{n}").bitwiseAND(F.lit((1 << 32) - 1)), 1)) for n in "xy"
     )
-    total = size_a + size_b
-    rest = F.least(size_a - at_a, size_b - at_b)
-    apart = F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b")))
+    rest = F.least(size_x - at_x, size_y - at_y)
+    limit = F.when(F.col("both_x").bitwiseAND(F.lit(1)) == 1, F.col("doc_id_x")).otherwise(F.lit(-(1 << 63)))
     joined = x.join(y, "word").where(
-        (F.col("class_a") != F.col("class_b"))
-        & (size_a <= size_b)
-        & (s.den * size_a >= s.num * size_b)
-        & ((s.num + s.den) * rest >= s.num * total)
-        & ((s.num + s.den) * apart <= (s.den - s.num) * total)
+        _before(limit, F.col("who_x"))
+        & ((s.num + s.den) * rest >= s.num * (size_x + size_y))
+        & _may_be_similar(s, size_x, size_y)
     )
-    return joined.groupBy(F.col("class_a").alias("a"), F.col("class_b").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    return joined.select(*[f"{c}_{n}" for n in "xy" for c in ID]).distinct()
 
 
 def _full_sets(docs: DataFrame, places: DataFrame, similarity: Similarity) -> DataFrame:
-    """(class, place, words) of the first lines of the given classes, once each.
+    """(id, class, words) of the first lines of the given classes, once each.
 
     Two bitmaps keep other documents from being split and other lines from being shuffled.
     """
@@ -202,41 +264,32 @@ def _full_sets(docs: DataFrame, places: DataFrame, similarity: Similarity) -> Da
                 yield pa.RecordBatch.from_arrays([*map(pa.array, plain), listed], names=schema.names)
 
     found = docs.select("doc_id", "text").mapInArrow(run, schema)
-    return found.join(places, ["doc_id", "line", *CLASS]).select(F.struct(*CLASS).alias("set"), "words").dropDuplicates(["set"])
+    return found.join(places, ["doc_id", "line", *CLASS]).select(*ID, *CLASS, "words").dropDuplicates(CLASS)
 
 
-def _similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
-    """Classes ``later`` of those pairs (later, earlier) that are similar, from their full sets."""
-    wanted = pairs.selectExpr("later.*").unionByName(pairs.selectExpr("earlier.*")).distinct()
-    places = stored(classes.join(wanted, CLASS, "left_semi").select(*CLASS, "place.*"))
+def similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
+    """Classes x of those pairs that are similar, from their full sets."""
+    mine, other = (classes.select(*_renamed(n, *ID, "size", *PARITY)) for n in "xy")
+    known = pairs.join(mine, [f"{c}_x" for c in ID]).join(other, [f"{c}_y" for c in ID])
+    near = known.where(_may_be_similar(s, F.col("size_x"), F.col("size_y")))
+    named = stored(near.select(*[f"{c}_{n}" for n in "xy" for c in ID]).distinct())
+    wanted = named.selectExpr("doc_id_x doc_id", "who_x who").unionByName(named.selectExpr("doc_id_y doc_id", "who_y who")).distinct()
+    places = stored(classes.join(wanted, ID, "left_semi").select(*CLASS, *ID, "line"))
     sets = stored(_full_sets(docs, places, s))
-    one = sets.select(F.col("set").alias("later"), F.col("words").alias("words_a"))
-    two = sets.select(F.col("set").alias("earlier"), F.col("words").alias("words_b"))
-    both = pairs.select("later", "earlier").join(one, "later").join(two, "earlier")
-    common = F.size(F.array_intersect("words_a", "words_b"))
-    links = both.where(s.den * common >= s.num * (F.size("words_a") + F.size("words_b") - common))
-    found = stored(links.select("later").distinct())
-    drop(sets)
+    one, two = (sets.select(*_renamed(n, *ID, *CLASS, "words")) for n in "xy")
+    both = named.join(one, [f"{c}_x" for c in ID]).join(two, [f"{c}_y" for c in ID])
+    common = F.size(F.array_intersect("words_x", "words_y"))
+    links = both.where(s.den * common >= s.num * (F.size("words_x") + F.size("words_y") - common))
+    found = stored(links.select(*[F.col(f"{c}_x").alias(c) for c in CLASS]).distinct())
+    for table in (named, places, sets):
+        drop(table)
     return found
 
 
-def later_classes(docs: DataFrame, pairs: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
-    """Classes with an earlier similar one.
-
-    One such class is enough. So every class is first compared with the candidate that shares
-    most words of the prefixes, and only those that aren't similar to it with all the others.
-    """
-    one = F.struct("place", F.struct(*CLASS).alias("set"))
-    place = lambda n: classes.select(F.col("class").alias(n), one.alias(f"one_{n}"))
-    known = pairs.join(place("a"), "a").join(place("b"), "b")
-    later, earlier = (F.greatest("one_a", "one_b")["set"], F.least("one_a", "one_b")["set"])
-    oriented = stored(known.select(later.alias("later"), earlier.alias("earlier"), "n"))
-    best = stored(oriented.groupBy("later").agg(F.max_by("earlier", F.struct("n", "earlier")).alias("earlier")))
-    found = _similar(docs, best, classes, s)
-    rest = stored(oriented.join(found, "later", "left_anti").join(best, ["later", "earlier"], "left_anti"))
-    if not rest.isEmpty():
-        found = found.unionByName(_similar(docs, rest, classes, s))
-    return found.select("later.*")
+def later_classes(docs: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
+    """Classes with an earlier similar one."""
+    found = similar(docs, first_candidates(classes, s), classes, s)
+    return found.unionByName(similar(docs, stored(candidates(classes, found, s)), classes, s))
 
 
 def removed_lines(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:  # noqa: B008
@@ -249,14 +302,13 @@ def removed_lines(docs: DataFrame, similarity: Similarity = Similarity()) -> Dat
     ranks = spark.sparkContext.broadcast(slot_ranks(docs))
     lines = stored(line_table(docs, ranks, s))
     place = F.struct("doc_id", "line")
-    classes = stored(lines.groupBy(*CLASS).agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n")))
-    pairs = stored(candidates(lines, classes, s))
+    classes = stored(class_table(lines))
     wide, lines = lines, stored(lines.select(*CLASS, "doc_id", "text_id", "line"))
     drop(wide)
-    later = stored(later_classes(docs, pairs, classes, s))
+    later = later_classes(docs, classes, s)
     # A class with an earlier similar one loses all lines, any other class all but its first.
     gone = later.withColumn("gone", F.lit(True))
-    marked = classes.join(gone, CLASS, "left").where("n > 1 OR gone").select(*CLASS, F.col("place").alias("first_place"), "gone")
+    marked = classes.join(gone, CLASS, "left").where("n > 1 OR gone").select(*CLASS, place.alias("first_place"), "gone")
     judged = lines.join(marked, CLASS)
     return judged.where(F.col("gone") | (place > F.col("first_place"))).select("doc_id", "text_id", "line")
 
