@@ -117,7 +117,8 @@ NEAR = 3  # keys of a set; changes the work, not the result
 def _near(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """``NEAR`` keys of each set that isn't empty, each of its least words by two random orders."""
     starts = at[:-1][np.diff(at) > 0]
-    least = lambda k: np.minimum.reduceat(arrays.mix(hashes ^ np.uint64(k + 1) * _SECOND), starts)
+    orders = np.uint64(2) * arrays.mix(np.arange(2 * NEAR).astype(np.uint64) + _SECOND) + np.uint64(1)
+    least = lambda k: np.minimum.reduceat((hashes ^ orders[k]) * orders[k], starts)
     if not len(starts):
         return np.zeros((0, NEAR), np.int64)
     return np.stack([arrays.mix(least(2 * k) + arrays.mix(least(2 * k + 1))) for k in range(NEAR)], axis=1).view(np.int64)
@@ -198,12 +199,16 @@ def _with_partners(classes: DataFrame, s: Similarity) -> DataFrame:
 
 
 def first_candidates(classes: DataFrame, s: Similarity) -> DataFrame:
-    """Pairs of each class (x) with the earliest one (y) of each of its near keys."""
+    """Pairs of each class (x) with the earliest one (y) of each of its near keys, if sizes and parity bits allow."""
     keyed = _with_partners(classes, s).select(*ID, F.explode("near").alias("key"))
     least = F.min(F.struct(*ID)).alias("least")
     hubs = keyed.groupBy("key").agg(least).select("key", *[F.col(f"least.{c}").alias(f"{c}_y") for c in ID])
     mine = keyed.select("key", *_renamed("x", *ID))
-    return mine.join(hubs, "key").where(_before(F.col("doc_id_x"), F.col("who_x"))).drop("key").distinct()
+    pairs = mine.join(hubs, "key").where(_before(F.col("doc_id_x"), F.col("who_x"))).drop("key").distinct()
+    one, two = (classes.select(*_renamed(n, *ID, "size", *PARITY)) for n in "xy")
+    known = pairs.join(one, [f"{c}_x" for c in ID]).join(two, [f"{c}_y" for c in ID])
+    near = known.where(_may_be_similar(s, F.col("size_x"), F.col("size_y")))
+    return near.select(*[f"{c}_{n}" for n in "xy" for c in ID]).distinct()
 
 
 def candidates(classes: DataFrame, found: DataFrame, s: Similarity) -> DataFrame:
@@ -235,15 +240,16 @@ def candidates(classes: DataFrame, found: DataFrame, s: Similarity) -> DataFrame
     return joined.select(*[f"{c}_{n}" for n in "xy" for c in ID]).distinct()
 
 
-def _full_sets(docs: DataFrame, places: DataFrame, similarity: Similarity) -> DataFrame:
-    """(id, class, words) of the first lines of the given classes, once each.
+def _full_sets(docs: DataFrame, wanted: DataFrame, similarity: Similarity) -> DataFrame:
+    """(id, class, words) of the lines with the given ids.
 
     Two bitmaps keep other documents from being split and other lines from being shuffled.
     """
     spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(bitmaps.bitmap(places, "doc_id"))
-    class_bits = spark.sparkContext.broadcast(bitmaps.bitmap(places, "class"))
-    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "line", *CLASS)]).add("words", T.ArrayType(T.LongType()))
+    bits = spark.sparkContext.broadcast(bitmaps.bitmap(wanted, "doc_id"))
+    half = F.col("who").bitwiseAND(F.lit((1 << 32) - 1))
+    class_bits = spark.sparkContext.broadcast(bitmaps.bitmap(wanted.select(half.alias("half")), "half"))
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in (*ID, *CLASS)]).add("words", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = np.arange(SLOTS)  # the order is of no account here
@@ -255,40 +261,41 @@ def _full_sets(docs: DataFrame, places: DataFrame, similarity: Similarity) -> Da
                 part = data[offsets[low] : offsets[high]]
                 hashes, at, first = line_sets(part, offsets[low : high + 1] - offsets[low], ranks)
                 size, sets = np.diff(at), _class(hashes, at)
-                wanted = bitmaps.contains(class_bits.value, sets)
-                used = np.flatnonzero((size >= similarity.min_words) & wanted)
+                chosen = bitmaps.contains(class_bits.value, sets & ((1 << 32) - 1))
+                used = np.flatnonzero((size >= max(similarity.min_words, 1)) & chosen)
                 owner = np.repeat(np.arange(high - low), np.diff(first))[used]
                 flat = hashes[arrays.ragged_index(at[:-1][used], size[used])].view(np.int64)
                 listed = pa.ListArray.from_arrays(pa.array(arrays.offsets_of(size[used]), pa.int32()), pa.array(flat))
-                plain = [ids[low + owner], used - first[owner], sets[used], _class(hashes, at, _SECOND)[used]]
+                who = ((used - first[owner]) << 32) + (sets[used] & ((1 << 32) - 1))
+                plain = [ids[low + owner], who, sets[used], _class(hashes, at, _SECOND)[used]]
                 yield pa.RecordBatch.from_arrays([*map(pa.array, plain), listed], names=schema.names)
 
     found = docs.select("doc_id", "text").mapInArrow(run, schema)
-    return found.join(places, ["doc_id", "line", *CLASS]).select(*ID, *CLASS, "words").dropDuplicates(CLASS)
+    return found.join(wanted, ID, "left_semi").dropDuplicates([*ID, *CLASS])
 
 
 def similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
-    """Classes x of those pairs that are similar, from their full sets."""
-    mine, other = (classes.select(*_renamed(n, *ID, "size", *PARITY)) for n in "xy")
-    known = pairs.join(mine, [f"{c}_x" for c in ID]).join(other, [f"{c}_y" for c in ID])
-    near = known.where(_may_be_similar(s, F.col("size_x"), F.col("size_y")))
-    named = stored(near.select(*[f"{c}_{n}" for n in "xy" for c in ID]).distinct())
-    wanted = named.selectExpr("doc_id_x doc_id", "who_x who").unionByName(named.selectExpr("doc_id_y doc_id", "who_y who")).distinct()
-    places = stored(classes.join(wanted, ID, "left_semi").select(*CLASS, *ID, "line"))
-    sets = stored(_full_sets(docs, places, s))
+    """Classes x of those pairs that are similar, from their full sets.
+
+    Where rows repeat a doc_id, an id can name another set that shares half of its hash: every set
+    is compared as its own, and only those count whose first line has that id.
+    """
+    wanted = stored(pairs.selectExpr("doc_id_x doc_id", "who_x who").unionByName(pairs.selectExpr("doc_id_y doc_id", "who_y who")).distinct())
+    sets = stored(_full_sets(docs, wanted, s))
     one, two = (sets.select(*_renamed(n, *ID, *CLASS, "words")) for n in "xy")
-    both = named.join(one, [f"{c}_x" for c in ID]).join(two, [f"{c}_y" for c in ID])
+    both = pairs.join(one, [f"{c}_x" for c in ID]).join(two, [f"{c}_y" for c in ID])
     common = F.size(F.array_intersect("words_x", "words_y"))
     links = both.where(s.den * common >= s.num * (F.size("words_x") + F.size("words_y") - common))
-    found = stored(links.select(*[F.col(f"{c}_x").alias(c) for c in CLASS]).distinct())
-    for table in (named, places, sets):
+    alike = stored(links.select(*[F.col(f"{c}_x").alias(c) for c in (*ID, *CLASS)]).distinct())
+    found = stored(classes.select(*ID, *CLASS).join(alike, [*ID, *CLASS], "left_semi").select(*CLASS))
+    for table in (wanted, sets, alike):
         drop(table)
     return found
 
 
 def later_classes(docs: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
     """Classes with an earlier similar one."""
-    found = similar(docs, first_candidates(classes, s), classes, s)
+    found = similar(docs, stored(first_candidates(classes, s)), classes, s)
     return found.unionByName(similar(docs, stored(candidates(classes, found, s)), classes, s))
 
 
@@ -308,7 +315,7 @@ def removed_lines(docs: DataFrame, similarity: Similarity = Similarity()) -> Dat
     later = later_classes(docs, classes, s)
     # A class with an earlier similar one loses all lines, any other class all but its first.
     gone = later.withColumn("gone", F.lit(True))
-    marked = classes.join(gone, CLASS, "left").where("n > 1 OR gone").select(*CLASS, place.alias("first_place"), "gone")
+    marked = stored(classes.join(gone, CLASS, "left").where("n > 1 OR gone").select(*CLASS, place.alias("first_place"), "gone"))
     judged = lines.join(marked, CLASS)
     return judged.where(F.col("gone") | (place > F.col("first_place"))).select("doc_id", "text_id", "line")
 
