@@ -1,8 +1,11 @@
 """Steps whose tasks have to grow in number, not in size, with the rows."""
 
+import re
+
 from pyspark.sql import functions as F
 
-from saleslake.checks import queries
+from saleslake.checks import queries, sales_view
+from saleslake.sources.layers import write_layer
 
 
 def test_workbooks_are_written_by_many_tasks(spark, tmp_path):
@@ -12,3 +15,70 @@ def test_workbooks_are_written_by_many_tasks(spark, tmp_path):
     writers = files.select(F.regexp_extract("path", r"/part-(\d+)", 1).alias("task")).distinct()
     assert (files.count(), writers.count() > 1) == (300, True)
     assert queries.workbook_listing(spark, str(tmp_path)).where("has_content").select("s_suppkey").distinct().count() == 300
+
+
+def star_tables(spark, folder, lines=3000, articles=40):
+    """Sales of few customers, with ticket numbers on both sides of several ranges."""
+    ticket = F.col("id") % 500 * 701
+    tables = {
+        "region": spark.createDataFrame([(0, "R0")], "r_regionkey int, r_name string"),
+        "nation": spark.createDataFrame([(n, f"NATION_{n}", 0) for n in range(3)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": spark.range(9).select(F.col("id").alias("c_custkey"), (F.col("id") % 3).cast("int").alias("c_nationkey")),
+        "orders": spark.range(500).select(
+            ticket.alias("o_orderkey"),
+            (F.col("id") % 9).alias("o_custkey"),
+            F.expr("timestamp'1996-01-01' + make_interval(0, 0, 0, cast(id * 2 % 900 as int))").alias("o_orderdate"),
+        ),
+        "part": spark.range(articles).select(
+            F.col("id").alias("p_partkey"), F.concat(F.lit("p"), "id").alias("p_name"), F.lit("b").alias("p_brand"),
+            F.lit("t").alias("p_type"), F.lit(3).alias("p_size"), F.lit(9.5).alias("p_retailprice"),
+        ),
+        "lineitem": spark.range(lines).select(
+            ticket.alias("l_orderkey"), (F.col("id") % articles).alias("l_partkey"), (F.col("id") % 7).alias("l_suppkey"),
+            (F.col("id") % 5).cast("int").alias("l_linenumber"), (F.col("id") % 4 + 1.0).alias("l_quantity"),
+            (F.col("id") + 10.0).alias("l_extendedprice"), F.lit(0.1).alias("l_tax"),
+        ),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_are_dealt_over_tasks_by_their_number(spark, tmp_path, monkeypatch):
+    sf_dir = star_tables(spark, tmp_path)
+    whole = sales_view.sales_view(spark, sf_dir)
+    rows = sorted(map(tuple, whole.collect()))
+    monkeypatch.setattr(sales_view, "LINES_PER_TASK", 100, raising=False)
+    many = sales_view.sales_view(spark, sf_dir)
+    assert re.findall(r"hashpartitioning\(l_partkey#\d+L, (\d+)\)", plan_of(many)) == ["31"]
+    assert len(rows) == 3000 and sorted(map(tuple, many.collect())) == rows
+
+
+def test_rows_are_numbered_without_one_task_per_branch_and_year(spark, tmp_path):
+    raw = sales_view.raw_view(spark, star_tables(spark, tmp_path), numbered=True)
+    windows = re.findall(r"row_number\(\) windowspecdefinition\(([^)]*?) ASC", plan_of(raw))
+    assert windows and all("_range" in w for w in windows)
+    cells = {h.strip().upper(): F.col("cells")[i] for i, h in enumerate(sales_view.UNTIDY)}
+    ticket = F.expr("try_cast(" + "cells[" + str(list(cells).index("NUMERO_TICKET")) + "] as bigint)")
+    found = raw.select("path", "sheet", "row_no", ticket.alias("ticket")).collect()
+    assert len(found) == 3000
+    for sheet in {(r.path, r.sheet) for r in found}:
+        mine = sorted((r for r in found if (r.path, r.sheet) == sheet), key=lambda r: r.row_no)
+        tickets = [r.ticket for r in mine if r.ticket is not None]
+        assert [r.row_no for r in mine] == list(range(2, len(mine) + 2)) and tickets == sorted(tickets)
+
+
+def test_a_layer_is_copied_without_a_shuffle(spark, tmp_path, monkeypatch):
+    sf_dir, hints = star_tables(spark, tmp_path), []
+    monkeypatch.setattr(queries, "write_layer", lambda df, root, **how: hints.append(how) or write_layer(df, root, **how))
+    queries.stored_layer(spark, sf_dir, "silver")
+    hints.clear()
+    copied = queries.partition_rewrite(spark, sf_dir)
+    assert hints == [{"clustered": True}, {}]
+    others = "NOT (SUCURSAL = 'NATION_2' AND YEAR = 1996 AND MONTH = 5)"
+    kept = queries.scan_silver(spark, sf_dir).where(others)
+    assert sorted(map(repr, copied.where(others).collect())) == sorted(map(repr, kept.collect()))
