@@ -82,3 +82,16 @@ def test_a_layer_is_copied_without_a_shuffle(spark, tmp_path, monkeypatch):
     others = "NOT (SUCURSAL = 'NATION_2' AND YEAR = 1996 AND MONTH = 5)"
     kept = queries.scan_silver(spark, sf_dir).where(others)
     assert sorted(map(repr, copied.where(others).collect())) == sorted(map(repr, kept.collect()))
+
+
+def test_a_mixed_layer_is_written_without_a_shuffle_of_its_text(spark, tmp_path, monkeypatch):
+    sf_dir, hints = star_tables(spark, tmp_path), []
+    numbered = sorted(map(tuple, sales_view.raw_view(spark, sf_dir, numbered=True).collect()), key=repr)
+    monkeypatch.setattr(sales_view, "LINES_PER_TASK", 100)
+    staged = sales_view.staged_sales(spark, sf_dir)
+    assert len(staged.inputFiles()) >= 3000 // (100 // sales_view.FILES_PER_TASK)
+    raw = sales_view.raw_view(spark, sf_dir, numbered=True, sales=staged)
+    assert sorted(map(tuple, raw.collect()), key=repr) == numbered
+    monkeypatch.setattr(queries, "write_layer", lambda df, root, **how: hints.append(how) or write_layer(df, root, **how))
+    queries.stored_layer(spark, sf_dir, "mixed")
+    assert hints == [{"clustered": True}] * 4
