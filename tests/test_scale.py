@@ -95,3 +95,11 @@ def test_a_mixed_layer_is_written_without_a_shuffle_of_its_text(spark, tmp_path,
     monkeypatch.setattr(queries, "write_layer", lambda df, root, **how: hints.append(how) or write_layer(df, root, **how))
     queries.stored_layer(spark, sf_dir, "mixed")
     assert hints == [{"clustered": True}] * 4
+
+
+def test_articles_are_no_broadcast_where_lines_are_dealt(spark, tmp_path, monkeypatch):
+    """The file of the articles is small, the table in a task's memory need not be."""
+    sf_dir = star_tables(spark, tmp_path)
+    monkeypatch.setattr(sales_view, "LINES_PER_TASK", 100)
+    joins = re.findall(r"(\w+Join) \[l_partkey#\d+L\]", plan_of(sales_view.sales_view(spark, sf_dir)))
+    assert joins and set(joins) == {"SortMergeJoin"}
