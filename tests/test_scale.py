@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from saleslake.checks import queries, sales_view
+from saleslake.sources import staging
 from saleslake.sources.layers import write_layer
 
 
@@ -103,3 +104,16 @@ def test_articles_are_no_broadcast_where_lines_are_dealt(spark, tmp_path, monkey
     monkeypatch.setattr(sales_view, "LINES_PER_TASK", 100)
     joins = re.findall(r"(\w+Join) \[l_partkey#\d+L\]", plan_of(sales_view.sales_view(spark, sf_dir)))
     assert joins and set(joins) == {"SortMergeJoin"}
+
+
+def test_gold_stages_no_column_that_follows_from_others(spark, tmp_path, monkeypatch):
+    sf_dir, staged = star_tables(spark, tmp_path), []
+    silver = queries._silver_of_dirty(spark, sf_dir).select(*queries.GOLD_INPUT, *queries.UNIT)
+    wanted = sorted(map(repr, queries.rounded(queries.gold_build(silver, "partition", queries.stage)).collect()))
+    monkeypatch.setattr(queries, "stage", lambda df, *rest: staged.append(df.columns) or staging.stage(df, *rest))
+    found = queries.gold_layer_partition(spark, sf_dir)
+    lines = next(c for c in staged if {"ID_ARTICULO", "DIA_MES"} <= set(c))
+    assert not {"MARGEN_ARS", "VENTA_USD", "COSTO_USD", "MARGEN_USD"} & set(lines)
+    products = next(c for c in staged if "ID_ARTICULO" in c and "DIA_MES" not in c)
+    assert not {"MARGEN_PORC_ARS", "MARGEN_PORC_USD"} & set(products)
+    assert wanted and sorted(map(repr, found.collect())) == wanted
