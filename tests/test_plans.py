@@ -3,10 +3,14 @@
 import os
 import re
 
+from pyspark.sql import functions as F
+
+from saleslake.operators.contract import header_names, usual_header, with_contract
+from saleslake.plans.bronze import bronze_build
 from saleslake.checks.queries import QUERIES, stored_layer
 from saleslake.checks.sales_view import bronze_view, rates_view, raw_view, silver_view
 from saleslake.operators.trends import daily_totals, monthly_trend, trend_flags, weekly_trend
-from saleslake.plans.bronze import bronze_build
+
 from saleslake.plans.gold import gold_build
 from saleslake.plans.silver import silver_build
 from saleslake.schemas import SILVER
@@ -117,3 +121,26 @@ def test_staged_gold_reads_silver_twice_and_joins_by_known_size(spark):
     assert "sucursal#" not in summary + final
     assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
     assert "Exchange hashpartitioning" not in final
+
+
+def test_a_usual_header_is_known_from_the_contract(spark):
+    """The pattern accepts just those headers whose names, by the general rules, are the required ones in order."""
+    required = ["FECHA", "A.B", "TOTAL"]
+    cells = [["FECHA", " fecha ", "\tFECHA", "FECHA\tA.B", "FECHA ", "FE CHA", None], ["A.B", "a.b  ", "AxB", "", None], ["TOTAL", "Total\n", " ", "fecha"]]
+    headers = [[a, b, c] for a in cells[0] for b in cells[1] for c in cells[2]]
+    headers += [["FECHA\tA.B", None, "TOTAL"], ["FECHA\tA.B", "TOTAL"], ["FECHA", "A.B", "TOTAL", "NOTA"], ["FECHA", "A.B"], [], None]
+    df = spark.createDataFrame([(h,) for h in headers], "header array<string>")
+    usual = usual_header(F.col("header"), required)
+    rows = df.select(usual.alias("usual"), header_names(F.col("header")).alias("names"), "header").collect()
+    assert sum(bool(r.usual) for r in rows) == 4
+    assert all(r.names == required for r in rows if r.usual)
+    judged = with_contract(df, required).collect()
+    assert [r.names for r in judged] == [r.names for r in rows]
+    assert [r.in_order for r in judged] == [None if r.names is None else r.names[:3] == required for r in rows]
+
+
+def test_the_branch_of_a_raw_row_is_found_once(spark):
+    raw = spark.createDataFrame([], "path string, sheet string, sheet_no int, row_no bigint, error string, header array<string>, cells array<string>")
+    plan = bronze_build(raw)._jdf.queryExecution().optimizedPlan().toString()
+    above, _, below = plan.partition("Generate inline")
+    assert "regexp_extract(" in below and "regexp_extract(" not in above
