@@ -3,7 +3,9 @@
 Sets fall into bands of sizes. Within a band two sets that link differ in at most H elements, so
 when the universe is dealt into H + 1 segments, they agree on one segment at least (pigeonhole). A
 set's key for a segment is a hash of its elements there; sets of the next larger band also have keys
-under the smaller band's segments.
+under the smaller band's segments. Two sets that share nothing often agree on a segment in which neither has
+an element. A set with more filled segments than elements that a partner may not share agrees with each
+partner on a filled one; its empty segments have keys that no other set has.
 
 * Equal sets are one class, whatever their number; only classes have keys.
 * Proposed pairs must pass the sizes and a parity filter, 512 bits of each set that bound the
@@ -22,6 +24,7 @@ shingle are one shingle; a text without words, or null, has an empty set and lin
 component and have none.
 """
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -59,7 +62,13 @@ class Join:
         return np.array(last)
 
     def segments(self, last: np.ndarray) -> np.ndarray:
-        return last * (self.den - self.num) // self.num + 1
+        """One more than two sets that link may differ in, and some for those that are likely to be empty."""
+        most = last * (self.den - self.num) // self.num
+        return most + 1 + np.rint(3 * math.exp(-self.num / (self.den - self.num)) * most).astype(np.int64)
+
+    def difference(self, size: np.ndarray, partner: np.ndarray) -> np.ndarray:
+        """Elements, at most, in which sets of these sizes differ if they link."""
+        return (self.den - self.num) * (size + partner) // (self.den + self.num)
 
     def layout(self, size: np.ndarray, own: bool) -> np.ndarray:
         """Band under whose segments a set has keys, own or next smaller; 0 for none."""
@@ -79,6 +88,7 @@ class Join:
         parts = [np.where(b > 0, segments[b], 0) for b in layouts]
         out = arrays.offsets_of(parts[0] + parts[1])
         found = np.zeros(out[-1], np.uint64)
+        whole = _sum_by_set(arrays.mix(value * _TWO), at)
         for k, (band, n) in enumerate(zip(layouts, parts, strict=True)):
             begin = out[:-1] + (parts[0] if k else 0)
             place, element, _ = _place(value, size, band, n, begin)
@@ -87,7 +97,13 @@ class Join:
             counts = np.bincount(place, minlength=len(sums)).astype(np.uint64)
             mine = arrays.ragged_index(begin, n)
             slot = _slots(band, n)
-            found[mine] = _key(sums[mine], counts[mine], slot)
+            key = _key(sums[mine], counts[mine], slot)
+            owner, empty = np.repeat(np.arange(len(size)), n), counts[mine] == 0
+            partner = np.minimum(last[band], size) if k else size * self.den // self.num
+            filled = n - np.bincount(owner[empty], minlength=len(size))
+            alone = empty & (filled > self.difference(size, partner))[owner]
+            key[alone] = arrays.mix(whole[owner[alone]] ^ (slot[alone].astype(np.uint64) * _COUNT))
+            found[mine] = key
         return found, out
 
     def slots(self, size: np.ndarray) -> np.ndarray:

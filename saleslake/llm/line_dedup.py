@@ -295,14 +295,19 @@ def similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, s: Similarity
 
 def later_classes(docs: DataFrame, classes: DataFrame, s: Similarity) -> DataFrame:
     """Classes with an earlier similar one."""
-    found = similar(docs, stored(first_candidates(classes, s)), classes, s)
-    return found.unionByName(similar(docs, stored(candidates(classes, found, s)), classes, s))
+    first = stored(first_candidates(classes, s))
+    found = similar(docs, first, classes, s)
+    drop(first)
+    rest = stored(candidates(classes, found, s))
+    more = similar(docs, rest, classes, s)
+    drop(rest)
+    return found.unionByName(more)
 
 
-def removed_lines(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:  # noqa: B008
-    """(doc_id, text_id, line) of every line with an earlier similar line; lines count from 0.
+def removed_lines(docs: DataFrame, similarity: Similarity = Similarity()) -> tuple[DataFrame, list[DataFrame]]:  # noqa: B008
+    """(doc_id, text_id, line) of every line with an earlier similar line, and the stored tables it reads.
 
-    ``text_id`` is Spark's 64-bit hash of the text: it tells texts that share a doc_id apart.
+    Lines count from 0. ``text_id`` is Spark's 64-bit hash of the text: it tells texts that share a doc_id apart.
     """
     s, spark = similarity, docs.sparkSession
     docs = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -316,8 +321,9 @@ def removed_lines(docs: DataFrame, similarity: Similarity = Similarity()) -> Dat
     # A class with an earlier similar one loses all lines, any other class all but its first.
     gone = later.withColumn("gone", F.lit(True))
     marked = stored(classes.join(gone, CLASS, "left").where("n > 1 OR gone").select(*CLASS, place.alias("first_place"), "gone"))
+    drop(classes)
     judged = lines.join(marked, CLASS)
-    return judged.where(F.col("gone") | (place > F.col("first_place"))).select("doc_id", "text_id", "line")
+    return judged.where(F.col("gone") | (place > F.col("first_place"))).select("doc_id", "text_id", "line"), [lines, marked]
 
 
 def dedup_lines(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:  # noqa: B008
@@ -326,8 +332,11 @@ def dedup_lines(docs: DataFrame, similarity: Similarity = Similarity()) -> DataF
     Only documents that may have lost lines are joined with their losses.
     """
     names = free_names(docs, "n_lines", "n_removed")
-    per_text = removed_lines(docs, similarity).groupBy(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text"))
+    removed, read = removed_lines(docs, similarity)
+    per_text = removed.groupBy(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text"))
     lost = stored(per_text.agg(F.collect_set(F.col("line").cast("int")).alias("_lost")))
+    for table in read:
+        drop(table)
     flagged = bitmaps.flagged(docs, "doc_id", lost, "_id")
     same = (F.col("_row.doc_id") == F.col("_id")) & (F.xxhash64("_row.text") == F.col("_text"))
     touched = flagged.where("_maybe").join(lost, same, "left")

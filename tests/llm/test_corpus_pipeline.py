@@ -2,6 +2,8 @@
 
 import hashlib
 import struct
+import time
+from pathlib import Path
 
 import public_tokenizers
 import test_decontamination
@@ -10,7 +12,7 @@ import test_line_dedup
 from tokenizers import Tokenizer
 
 import corpus_pipeline as p
-from saleslake.llm import jaccard_join, line_dedup
+from saleslake.llm import jaccard_join, line_dedup, tables
 from saleslake.llm.queries import table
 from saleslake.llm.tables import stored
 
@@ -97,3 +99,18 @@ def test_near_copies_of_five_word_shingles_go(spark):
     roots = {i: root for i, _, root in test_jaccard_join.brute(texts, jaccard_join.Join(words=5, num=80, den=100))}
     assert (roots[0], roots[1], roots[2]) == (0, 0, 2)
     assert {r.doc_id for r in p.one_of_each_group(spark, docs, SF).collect()} == {i for i, root in roots.items() if i == root}
+
+
+def test_shuffle_files_go_with_the_step(spark):
+    """What a step shuffled is deleted when its table is written; the session's setting stays as it was."""
+    before = spark.conf.get(tables.CLEAN_UP)
+    blocks = lambda: {b for d in folders for b in d.rglob("shuffle_*.data")}
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [Path(f.getPath()) for f in manager.localDirs()]
+    there = blocks()
+    got = stored(spark.range(100_000, numPartitions=4).repartition(5, "id"))
+    for _ in range(50):
+        if not blocks() - there:
+            break
+        time.sleep(0.1)
+    assert not blocks() - there and got.count() == 100_000 and spark.conf.get(tables.CLEAN_UP) == before

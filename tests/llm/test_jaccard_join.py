@@ -94,6 +94,33 @@ def test_segments_cover_the_difference():
                 assert join.layout(np.array([y]), True)[0] == b or join.layout(np.array([y]), False)[0] == b
 
 
+def test_unrelated_texts_share_no_key(spark):
+    """Two large sets always have some segment that is empty in both; that is no reason to compare them."""
+    texts = [" ".join(f"w{i}_{k}" for k in range(1000 + 7 * i)) for i in range(60)]
+    near = texts[5].replace("w5_300 ", "x ").replace("w5_700 ", "y ")
+    docs = spark.createDataFrame(list(enumerate([*texts, near])), "doc_id long, text string")
+    join = j.Join(words=5, num=80)
+    rows = j.summaries(docs, join)
+    shared = {r["class"] for r in j._members(rows, join).collect()}
+    assert shared == {r["class"] for r in rows.where("doc_id IN (5, 60)").collect()}
+    got = sorted(tuple(r) for r in j.join_documents(docs, join).collect())
+    assert [r for r in got if r[0] != r[2]] == [(60, len(shingles(near, 5)), 5)]
+
+
+def test_sets_with_empty_segments_keep_their_links():
+    """Two sets that link have a key in common, whatever segments are empty."""
+    chosen = np.random.default_rng(7)
+    join = j.Join(words=5, num=80)
+    for size in (*range(5, 60), 200, 450, 680, 681, 2000):
+        base = chosen.integers(0, 2**63, size, dtype=np.uint64)
+        less = base[: -(-size * 80 // 100)]
+        most = join.difference(np.array([size]), np.array([size]))[0] // 2
+        other = np.concatenate([base[most:], chosen.integers(0, 2**63, most, dtype=np.uint64)])
+        for two in (less, other):
+            keys, at = join.keys(np.concatenate([np.sort(base), np.sort(two)]), np.array([0, size, size + len(two)]))
+            assert set(keys[: at[1]].tolist()) & set(keys[at[1] :].tolist()), size
+
+
 def test_odd_rows(spark):
     rows = [(None, "a b c d", "", 0), (None, "", "", 0), (7, "a b c d", "", 0), (7, "a b c d", "", 0), (5, "", "", 0), (6, "", "", 0)]
     got = j.join_documents(spark.createDataFrame(rows, SCHEMA)).collect()
