@@ -269,7 +269,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
     schema = T.StructType().add("doc_id", T.LongType()).add("shingles", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in arrays.pieces(whole, "text")):
             asked = batch.filter(pa.array(bitmaps.contains(bits.value, batch.column("doc_id").to_numpy())))
             for rows, value, at in _each_slice([asked], "text", join.words):
                 listed = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(value.view(np.int64)))

@@ -200,14 +200,12 @@ def _with_partners(classes: DataFrame, s: Similarity) -> DataFrame:
 
 def first_candidates(classes: DataFrame, s: Similarity) -> DataFrame:
     """Pairs of each class (x) with the earliest one (y) of each of its near keys, if sizes and parity bits allow."""
-    keyed = _with_partners(classes, s).select(*ID, F.explode("near").alias("key"))
-    least = F.min(F.struct(*ID)).alias("least")
-    hubs = keyed.groupBy("key").agg(least).select("key", *[F.col(f"least.{c}").alias(f"{c}_y") for c in ID])
-    mine = keyed.select("key", *_renamed("x", *ID))
-    pairs = mine.join(hubs, "key").where(_before(F.col("doc_id_x"), F.col("who_x"))).drop("key").distinct()
-    one, two = (classes.select(*_renamed(n, *ID, "size", *PARITY)) for n in "xy")
-    known = pairs.join(one, [f"{c}_x" for c in ID]).join(two, [f"{c}_y" for c in ID])
-    near = known.where(_may_be_similar(s, F.col("size_x"), F.col("size_y")))
+    names = (*ID, "size", *PARITY)
+    keyed = _with_partners(classes, s).select(*names, F.explode("near").alias("key"))
+    least = F.min(F.struct(*names)).alias("least")
+    hubs = keyed.groupBy("key").agg(least).select("key", *[F.col(f"least.{c}").alias(f"{c}_y") for c in names])
+    pairs = keyed.select("key", *_renamed("x", *names)).join(hubs, "key")
+    near = pairs.where(_before(F.col("doc_id_x"), F.col("who_x")) & _may_be_similar(s, F.col("size_x"), F.col("size_y")))
     return near.select(*[f"{c}_{n}" for n in "xy" for c in ID]).distinct()
 
 
@@ -253,7 +251,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, similarity: Similarity) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = np.arange(SLOTS)  # the order is of no account here
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in arrays.pieces(whole, "text")):
             asked = batch.filter(pa.array(bitmaps.contains(bits.value, batch.column("doc_id").to_numpy())))
             data, offsets = arrays.text_bytes(asked.column("text"))
             ids = asked.column("doc_id").to_numpy()

@@ -1,8 +1,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from saleslake.llm import arrays
 from saleslake.llm import line_dedup as d
 
 SCHEMA = "doc_id long, text string, word string, class int"
@@ -105,3 +107,23 @@ def test_short_lines_take_part(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = sorted((r.doc_id, r.text, r.n_lines - r.n_removed) for r in d.dedup_lines(docs).collect())
     assert got == want and sum(len(t.split("\n")) for _, t in rows) > sum(n for *_, n in want)
+
+
+def test_first_pairs_take_one_join(spark):
+    """Sizes and parity bits travel with the near keys: pairs aren't joined with the classes again."""
+    line = "one two three four five six seven eight nine ten"
+    rows = [(1, line), (2, f"{line} eleven"), (3, "quite other words that nobody else has in any line")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    s, ranks = d.Similarity(), spark.sparkContext.broadcast(np.arange(d.SLOTS))
+    classes = d.class_table(d.line_table(docs, ranks, s))
+    pairs = d.first_candidates(classes, s)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1
+    assert {(r.doc_id_x, r.doc_id_y) for r in pairs.collect()} == {(2, 1)}
+
+
+def test_pieces_hold_all_rows():
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4], "text": ["a" * 700_000, None, "b" * 700_000, "c"]})
+    parts = list(arrays.pieces(batch, "text"))
+    assert [p.column("doc_id").to_pylist() for p in parts] == [[1, 2], [3, 4]]
+    assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
