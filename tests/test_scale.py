@@ -1,6 +1,8 @@
 """Steps whose tasks have to grow in number, not in size, with the rows."""
 
 import re
+import time
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -117,3 +119,44 @@ def test_gold_stages_no_column_that_follows_from_others(spark, tmp_path, monkeyp
     products = next(c for c in staged if "ID_ARTICULO" in c and "DIA_MES" not in c)
     assert not {"MARGEN_PORC_ARS", "MARGEN_PORC_USD"} & set(products)
     assert wanted and sorted(map(repr, found.collect())) == wanted
+
+
+def test_layers_are_shuffled_as_plain_lines(spark, tmp_path, monkeypatch):
+    """Amounts, names and texts that follow from a line are made after its last shuffle."""
+    sf_dir, written = star_tables(spark, tmp_path), {}
+
+    def kept(df, root, **how):
+        written[root] = (re.findall(r"Exchange (\w+)partitioning\(([^)]*)", plan_of(df)), df.columns, how)
+        write_layer(df, root, **how)
+
+    monkeypatch.setattr(queries, "write_layer", kept)
+    bronze, silver = (queries.stored_layer(spark, sf_dir, name) for name in ("bronze", "silver"))
+    for root in (bronze, silver):
+        exchanges, _, how = written[root]
+        assert how == {"clustered": True} and any("n_name" in keys and "_month" in keys for _, keys in exchanges)
+    silver_rows = sales_view.silver_view(spark, sf_dir).select(*queries.stored_silver(spark, sf_dir).columns)
+    assert sorted(map(repr, queries.scan_silver(spark, sf_dir).collect())) == sorted(map(repr, silver_rows.collect()))
+    bronze_rows = queries.bronze_layer(spark, sf_dir)
+    assert sorted(map(repr, queries.scan_bronze(spark, sf_dir).collect())) == sorted(map(repr, bronze_rows.collect()))
+
+
+def test_shuffle_files_go_with_the_write(spark, tmp_path):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [Path(f.getPath()) for f in manager.localDirs()]
+    blocks = lambda: {b for d in folders for b in d.rglob("shuffle_*.data")}
+    units = spark.range(1000).select("id", F.lit("B").alias("SUCURSAL"), F.lit(1996).alias("YEAR"), (F.col("id") % 3).cast("int").alias("MONTH"))
+    there = blocks()
+    write_layer(units.repartition(7, "id"), f"{tmp_path}/layer")
+    staged = staging.stage(units.repartition(5, "id"))
+    for _ in range(50):
+        if not blocks() - there:
+            break
+        time.sleep(0.1)
+    assert not blocks() - there and len(staged.collect()) == 1000
+
+
+def test_rows_of_gold_are_numbered_from_staged_lines(spark, tmp_path, monkeypatch):
+    sf_dir, staged = star_tables(spark, tmp_path), []
+    monkeypatch.setattr(sales_view, "stage", lambda df, *rest: staged.append(df.columns) or staging.stage(df, *rest))
+    queries.medallion_gold(spark, sf_dir)
+    assert any({"_place", "l_extendedprice"} <= set(c) and "DESC_ARTICULO" not in c for c in staged)
