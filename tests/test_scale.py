@@ -160,3 +160,18 @@ def test_rows_of_gold_are_numbered_from_staged_lines(spark, tmp_path, monkeypatc
     monkeypatch.setattr(sales_view, "stage", lambda df, *rest: staged.append(df.columns) or staging.stage(df, *rest))
     queries.medallion_gold(spark, sf_dir)
     assert any({"_place", "l_extendedprice"} <= set(c) and "DESC_ARTICULO" not in c for c in staged)
+
+
+def test_parts_of_a_mixed_layer_are_told_by_a_number_that_files_can_be_passed_over_by(spark, tmp_path, monkeypatch):
+    sf_dir, plans = star_tables(spark, tmp_path), []
+    monkeypatch.setattr(queries, "write_layer", lambda df, root, **how: plans.append(plan_of(df)) or write_layer(df, root, **how))
+    queries.stored_layer(spark, sf_dir, "mixed")
+    assert [re.findall(r"PushedFilters: \[[^\]]*EqualTo\(_writer,(\d)\)", p) for p in plans] == [["0"], ["1"], ["2"], ["3"]]
+
+
+def test_a_write_has_its_own_settings(spark):
+    keys = (staging.CLEAN_UP, staging.METHOD_LIMIT)
+    before = [spark.conf.get(k) for k in keys]
+    with staging.write_settings(spark):
+        assert [spark.conf.get(k) for k in keys] == ["true", "8000"]
+    assert [spark.conf.get(k) for k in keys] == before
